@@ -32,11 +32,18 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = N
 
 
 def dedup_canonical(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Drop duplicate rows over every non-map column (maps cannot be compared);
-    the map value of a surviving row is that of an arbitrary duplicate, as in the reference."""
-    keys = [f.name for f in df.schema.fields
-            if not isinstance(f.dataType, MapType) and f.name not in exclude]
-    return df.dropDuplicates(keys)
+    """Drop duplicate rows over every non-map column (maps cannot be compared).
+
+    The reference keeps an arbitrary duplicate's map; we keep the one whose
+    JSON form sorts first, so reruns give the same table. Partial aggregation
+    collapses duplicates on each task before the shuffle.
+    """
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+    keys = [c for c in df.columns if c not in maps and c not in exclude]
+    if not maps:
+        return df.dropDuplicates(keys)
+    aggs = [F.min_by(F.col(m), F.to_json(F.col(m))).alias(m) for m in maps]
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
 def dominant_row(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[str],

@@ -146,3 +146,50 @@ def vega_sv(rows: DataFrame, vol_sv: DataFrame, amount_col: str = "amount",
                       F.col(underlying_col).alias("underlying"))
     completed = complete_surface(req, vol_sv, with_underlying=True)
     return apply_ir_vol(rows, completed, True, amount_col, currency_col, bucket_col, underlying_col)
+
+
+def requested_nodes(routed: DataFrame, currency_col: str = "vol_currency", bucket_col: str = "bucket",
+                    underlying_col: str = "underlying_snapped", branch_col: str = "vol_branch"):
+    """Distinct surface nodes asked for by CV and SV rows (one aggregate pass for both)."""
+    nodes = routed.where(F.col(branch_col).isin(CV_BRANCH, SV_BRANCH)).select(
+        F.col(branch_col).alias("branch"), F.col(currency_col).alias("currency"),
+        F.col(bucket_col).alias("tenor"),
+        F.when(F.col(branch_col) == SV_BRANCH, F.col(underlying_col)).otherwise(F.lit("")).alias("underlying"),
+    ).distinct()
+    cv = nodes.where(F.col("branch") == CV_BRANCH).select("currency", "tenor")
+    sv = nodes.where(F.col("branch") == SV_BRANCH).select("currency", "tenor", "underlying")
+    return cv, sv
+
+
+def vol_lookup(fx_vol_bucketed: DataFrame, cv_completed: DataFrame, sv_completed: DataFrame) -> DataFrame:
+    """One lookup table ``(_br, _k1, _k2, _k3, _vol)`` for all three surfaces."""
+    fxk = fx_vol_bucketed.select(F.lit(FX_BRANCH).alias("_br"), F.col("vol_type").alias("_k1"),
+                                 F.col("pair").alias("_k2"), F.col("bucket").alias("_k3"), F.col("vol").alias("_vol"))
+    cvk = cv_completed.select(F.lit(CV_BRANCH).alias("_br"), F.col("currency").alias("_k1"),
+                              F.col("tenor").alias("_k2"), F.lit("").alias("_k3"), F.col("vol").alias("_vol"))
+    svk = sv_completed.select(F.lit(SV_BRANCH).alias("_br"), F.col("currency").alias("_k1"),
+                              F.col("tenor").alias("_k2"), F.col("underlying").alias("_k3"), F.col("vol").alias("_vol"))
+    return fxk.unionByName(cvk).unionByName(svk)
+
+
+def scale_vegas(routed: DataFrame, fx_vol: DataFrame, vol_cv: DataFrame, vol_sv: DataFrame,
+                intervals: DataFrame, amount_col: str = "amount", branch_col: str = "vol_branch") -> DataFrame:
+    """V1 + V3 + V4 + U7 in one join: every routed row meets its own surface through one
+    combined lookup (FX quotes, completed CV and SV surfaces), inner semantics per branch;
+    rows of branch ``none`` bypass the join untouched. CV rows get underlying ``N/A``."""
+    cv_req, sv_req = requested_nodes(routed)
+    lookup = vol_lookup(bucket_fx_vol(fx_vol, intervals),
+                        complete_surface(cv_req, vol_cv), complete_surface(sv_req, vol_sv, True))
+    br = F.col(branch_col)
+    k1 = F.when(br == FX_BRANCH, F.col("grp")).otherwise(F.col("vol_currency"))
+    k2 = F.when(br == FX_BRANCH, F.col("currency_pair")).otherwise(F.col("bucket"))
+    k3 = (F.when(br == FX_BRANCH, F.col("bucket")).when(br == SV_BRANCH, F.col("underlying_snapped"))
+          .otherwise(F.lit("")))
+    scaled = routed.where(br != NO_VOL).withColumns({"_rk1": k1, "_rk2": k2, "_rk3": k3}).join(
+        lookup, (br == F.col("_br")) & (F.col("_rk1") == F.col("_k1")) & (F.col("_rk2") == F.col("_k2"))
+        & (F.col("_rk3") == F.col("_k3")), "inner")
+    scaled = scaled.withColumn(amount_col, scale_by_vol(F.col(amount_col), F.col("_vol")))
+    scaled = scaled.withColumn("underlying_maturity", F.when(br == CV_BRANCH, F.lit("N/A"))
+                               .otherwise(F.col("underlying_maturity")))
+    scaled = scaled.drop("_rk1", "_rk2", "_rk3", "_br", "_k1", "_k2", "_k3", "_vol")
+    return scaled.unionByName(routed.where(br == NO_VOL))
