@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import product_key, recode, tenor_days, vol_currency
 from ..operators import bucketing, filters, joins, products, reshape
 from ..operators import volatility as vol
+from ..session import materialize
 from . import feeds
 
 # Regulation constants stamped on every row.
@@ -116,22 +117,6 @@ def schedule_rows(sched: DataFrame) -> DataFrame:
     }).drop("schedule_class")
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
-    """Cut the lineage of a wide intermediate.
-
-    ``checkpoint`` writes it once to the shared folder named by
-    ``spark.checkpoint.dir`` (a reliable checkpoint: lost executors re-read it
-    instead of recomputing every feed); ``none`` keeps one lazy plan.
-    """
-    if how == "checkpoint":
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if how == "none":
-        return df
-    raise ValueError(f"unknown materialize mode {how!r}")
-
-
 def margin_table(inp: MarginInputs, app_id: str = "marginflow", strict_vol: bool = True,
                  materialize_mode: str = "checkpoint") -> DataFrame:
     """The 40-column margin table.

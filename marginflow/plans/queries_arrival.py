@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import arrival
 from ..sources import fixtures as fx
+from ..session import materialize
 from .registry import query, r4, ymdhms
 
 APP_ID = "margin"
@@ -54,7 +55,8 @@ _TS = "'%Y-%m-%d %H:%M:%S'"
 
 
 def _tagged(spark, d):
-    return arrival.tag_file_sets(fx.file_log(spark, d), fx.MASKS)
+    # the tagged log feeds several aggregates: tag (regex) once, read it back
+    return materialize(arrival.tag_file_sets(fx.file_log(spark, d), fx.MASKS))
 
 
 @query("working_period", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -42,3 +42,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Cut the lineage of an intermediate that several branches read.
+
+    ``checkpoint`` writes it once to the shared folder named by
+    ``spark.checkpoint.dir`` (a reliable checkpoint: a lost executor re-reads
+    it instead of recomputing everything upstream, and the plan above it
+    stays small); ``none`` keeps one lazy plan.
+    """
+    if how == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "none":
+        return df
+    raise ValueError(f"unknown materialize mode {how!r}")
