@@ -73,8 +73,17 @@ def _common(df: DataFrame) -> dict:
     }
 
 
-def _canonical(df: DataFrame, cols: dict) -> DataFrame:
-    """F13 + G5: project to the canonical columns and drop duplicates."""
+def _canonical(df: DataFrame, cols: dict, constant_exposure: bool = True) -> DataFrame:
+    """F13 + G5: project to the canonical columns and drop duplicates.
+
+    When the exposure map is the constant ``{'' -> 0}`` the rows are
+    deduplicated before it is attached, so the dedup stays a hash aggregate
+    over comparable columns (a map in the row would force a sort aggregate).
+    """
+    if constant_exposure:
+        plain = [c for c in CANONICAL if c != "pnlvar_delta_fx"]
+        out = df.select(*[cols[c].alias(c) for c in plain]).dropDuplicates(plain)
+        return out.withColumn("pnlvar_delta_fx", empty_exposure()).select(*CANONICAL)
     out = df.select(*[cols[c].alias(c) for c in CANONICAL])
     return dedup.dedup_canonical(out)
 
@@ -162,7 +171,7 @@ def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
         .otherwise(empty_exposure())
     simm = _canonical(legs, dict(cols, im_model=F.lit("SIMM"), risk_type=F.col("risk_type"),
                                  source_name=F.col("source_name"), amount=F.col("amount"),
-                                 pnlvar_delta_fx=exposure))
+                                 pnlvar_delta_fx=exposure), constant_exposure=False)
     sched_legs = reshape.fx_legs(filters.nonzero(joins.join_pl(s, pl), "delta", "vega", mode="any"))
     sched = _schedule(sched_legs, dict(cols, source_name=F.col("source_name")))
     return simm.unionByName(sched)

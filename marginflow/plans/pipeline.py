@@ -118,7 +118,7 @@ def schedule_rows(sched: DataFrame) -> DataFrame:
 
 
 def margin_table(inp: MarginInputs, app_id: str = "marginflow", strict_vol: bool = True,
-                 materialize_mode: str = "checkpoint") -> DataFrame:
+                 materialize_mode: str = "table") -> DataFrame:
     """The 40-column margin table.
 
     The product-resolved rows are materialised once: both models and every
