@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import product_key, recode, tenor_days, vol_currency
 from ..operators import bucketing, filters, joins, products, reshape
 from ..operators import volatility as vol
+from ..operators.observe import observe_counts
 from ..session import materialize
 from . import feeds
 
@@ -118,14 +119,18 @@ def schedule_rows(sched: DataFrame) -> DataFrame:
 
 
 def margin_table(inp: MarginInputs, app_id: str = "marginflow", strict_vol: bool = True,
-                 materialize_mode: str = "table") -> DataFrame:
+                 materialize_mode: str = "table", counters: dict | None = None) -> DataFrame:
     """The 40-column margin table.
 
     The product-resolved rows are materialised once: both models and every
     volatility branch read them, and the plan above them stays small.
+    ``counters`` (a dict) collects G11 row counts as ``Observation`` objects,
+    filled by the jobs that run anyway.
     """
-    a = materialize(resolve_products(build_feeds(inp), inp), materialize_mode)
+    unified = observe_counts(build_feeds(inp), "unified_feeds", counters)
+    a = materialize(observe_counts(resolve_products(unified, inp), "resolved", counters), materialize_mode)
     simm, sched = filters.split_model(a)
-    out = reshape.union_feeds(simm_rows(simm, inp, strict_vol), schedule_rows(sched))
+    simm_out = observe_counts(simm_rows(simm, inp, strict_vol), "simm_rows", counters)
+    out = reshape.union_feeds(simm_out, observe_counts(schedule_rows(sched), "schedule_rows", counters))
     out = out.withColumn("type_simm", F.lit(app_id)).withColumnRenamed("counterparty", "counterparty_mx")
     return out.select(*OUTPUT)

@@ -200,3 +200,14 @@ def test_dedup_canonical_idempotent(spark):
         .withColumn("m", F.create_map(F.lit("x"), F.col("k")))
     once = dedup.dedup_canonical(df)
     assert once.count() == 2 and dedup.dedup_canonical(once).count() == 2
+
+
+def test_margin_table_counters(spark):
+    from marginflow.plans.pipeline import margin_table
+    from marginflow.plans.queries_pipeline import margin_inputs
+    counters = {}
+    m = margin_table(margin_inputs(spark, "/root/testdata/sf0.001"), counters=counters)
+    n = m.count()
+    got = {k: v.get["rows"] for k, v in counters.items()}
+    assert got["simm_rows"] + got["schedule_rows"] == n
+    assert got["resolved"] <= got["unified_feeds"]
