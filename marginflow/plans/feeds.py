@@ -73,29 +73,44 @@ def _common(df: DataFrame) -> dict:
     }
 
 
-def _canonical(df: DataFrame, cols: dict, constant_exposure: bool = True) -> DataFrame:
-    """F13 + G5: project to the canonical columns and drop duplicates.
+AMOUNT_COLUMNS = ("amount", "amount_cup0", "pnlvar_delta_ir", "pnlvar_vega_ir")
 
-    When the exposure map is the constant ``{'' -> 0}`` the rows are
-    deduplicated before it is attached, so the dedup stays a hash aggregate
-    over comparable columns (a map in the row would force a sort aggregate).
-    """
-    if constant_exposure:
-        plain = [c for c in CANONICAL if c != "pnlvar_delta_fx"]
-        out = df.select(*[cols[c].alias(c) for c in plain]).dropDuplicates(plain)
-        return out.withColumn("pnlvar_delta_fx", empty_exposure()).select(*CANONICAL)
-    out = df.select(*[cols[c].alias(c) for c in CANONICAL])
-    return dedup.dedup_canonical(out)
+
+def _entry(cols: dict, fields, keep) -> F.Column:
+    vals = [(cols[c].cast(AMOUNT) if c in AMOUNT_COLUMNS else cols[c]).alias(c) for c in fields]
+    return F.struct(*vals, keep.alias("_keep"))
 
 
-def _schedule(df: DataFrame, cols: dict, amount_src: str = "market_value") -> DataFrame:
-    """U3 on a Schedule branch: PV (market value) and Notional (nominal) rows."""
-    cols = dict(cols, im_model=F.lit("Schedule"), sector=F.lit(""), label2=F.lit(""),
-                pnlvar_delta_fx=empty_exposure())
-    keep = {k: v for k, v in cols.items() if k not in ("risk_type", "amount")}
-    base = df.select(*[v.alias(k) for k, v in keep.items()], amount_src, "nominal")
-    rows = reshape.schedule_rows(base, mv_col=amount_src, nominal_col="nominal")
-    return _canonical(rows, {c: F.col(c) for c in CANONICAL})
+def _both_models(rows: DataFrame, simm_cols: dict, sched_cols: dict, pl: DataFrame | None,
+                 varying_map: bool = False) -> DataFrame:
+    """SIMM rows and Schedule rows (U3) of one feed in a single pass, then G5.
+
+    ``rows`` are the feed's rows after its non-zero filter. With ``pl`` given,
+    P&L is left-joined once (J3): every row emits its SIMM row, and rows with
+    a P&L match also emit a PV row (market value) and a Notional row
+    (nominal); duplicates from P&L fan-out collapse in the dedup exactly as
+    in the reference's per-branch dedup. Without ``pl`` the rows already
+    carry their P&L (J4, inner). One scan of the prefix feeds both models.
+    """
+    if pl is not None:
+        p = pl.select("trade_id", "portfolio", "market_value").withColumn("_pl_hit", F.lit(True))
+        rows = rows.join(p, ["trade_id", "portfolio"], "left")
+        hit = F.col("_pl_hit").isNotNull()
+    else:
+        hit = F.lit(True)
+    fields = CANONICAL if varying_map else [c for c in CANONICAL if c != "pnlvar_delta_fx"]
+    sched = dict(sched_cols, im_model=F.lit("Schedule"), sector=F.lit(""), label2=F.lit(""),
+                 pnlvar_delta_fx=empty_exposure())
+    entries = F.array(
+        _entry(dict(simm_cols, im_model=F.lit("SIMM")), fields, F.lit(True)),
+        _entry(dict(sched, risk_type=F.lit("PV"), amount=F.col("market_value")), fields, hit),
+        _entry(dict(sched, risk_type=F.lit("Notional"), amount=F.col("nominal")), fields, hit),
+    )
+    out = rows.select(F.inline(F.filter(entries, lambda e: e["_keep"]))).drop("_keep")
+    if varying_map:
+        return dedup.dedup_canonical(out).select(*CANONICAL)
+    out = out.dropDuplicates(fields)
+    return out.withColumn("pnlvar_delta_fx", empty_exposure()).select(*CANONICAL)
 
 
 # ---------------------------------------------------------------- E1 / E2 rates delta
@@ -105,7 +120,6 @@ def rates_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFra
     (``dv01_par, inflation_par``; optional ``dv01_zero, inflation_zero, sensi_cross``)."""
     s = _prefix(sens, trades, cpty)
     s = filters.version_rule(s, product_key("family", "grp", "typ"))
-    amount = (F.col("dv01_par") + F.col("inflation_par")).cast(AMOUNT)
     has_curve = F.col("curve") != ""
     cols = dict(_common(s))
     cols.update({
@@ -114,20 +128,18 @@ def rates_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFra
         "risk_factor": F.when(has_curve, F.col("curve")).otherwise(F.col("inflation_curve")),
         "sens_maturity": F.col("maturity_text"), "underlying_maturity": F.lit(""),
         "source_name": F.lit("DeltaIR"),
-        "amount_cup0": (col_or(s, "dv01_zero", _zero()) + col_or(s, "inflation_zero", _zero())).cast(AMOUNT),
+        "amount_cup0": col_or(s, "dv01_zero", _zero()) + col_or(s, "inflation_zero", _zero()),
         "pnlvar_vega_ir": _zero(), "pnlvar_delta_fx": empty_exposure(),
     })
-    nz = filters.nonzero(s, "dv01_par", "inflation_par")
-    simm = _canonical(nz, dict(
-        cols, im_model=F.lit("SIMM"), amount=amount,
+    simm = dict(
+        cols, amount=F.col("dv01_par") + F.col("inflation_par"),
         risk_type=F.when(has_curve, F.lit("Risk_IRCurve")).otherwise(F.lit("Risk_Inflation")),
         sector=F.when(has_curve, F.lit("1")).otherwise(F.lit("")),
         label2=F.when(has_curve, F.lit("OIS")).otherwise(F.lit("")),
         pnlvar_delta_ir=F.when(col_or(s, "sensi_cross", _no_str()).eqNullSafe(F.lit("Direct sensi")),
-                               col_or(s, "dv01_zero", _zero())).otherwise(_zero()).cast(AMOUNT)))
-    sched_in = filters.nonzero(joins.join_pl(s, pl), "dv01_par", "inflation_par")
-    sched = _schedule(sched_in, dict(cols, pnlvar_delta_ir=_zero()))
-    return simm.unionByName(sched)
+                               col_or(s, "dv01_zero", _zero())).otherwise(_zero()))
+    nz = filters.nonzero(s, "dv01_par", "inflation_par")
+    return _both_models(nz, simm, dict(cols, pnlvar_delta_ir=_zero()), pl)
 
 
 # ---------------------------------------------------------------- E3 / E4 credit delta
@@ -143,11 +155,9 @@ def credit_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFr
         "source_name": F.lit("DeltaCred"), "amount_cup0": _zero(),
         "pnlvar_delta_ir": _zero(), "pnlvar_vega_ir": _zero(), "pnlvar_delta_fx": empty_exposure(),
     })
-    simm = _canonical(filters.nonzero(s, "cr01_par"), dict(
-        cols, im_model=F.lit("SIMM"), amount=F.col("cr01_par").cast(AMOUNT),
-        risk_type=F.lit("Risk_CreditQ"), sector=F.lit("1"), label2=F.col("pay_ccy")))
-    sched_in = filters.nonzero(joins.join_pl(s, pl), "cr01_par")
-    return simm.unionByName(_schedule(sched_in, cols))
+    simm = dict(cols, amount=F.col("cr01_par"), risk_type=F.lit("Risk_CreditQ"), sector=F.lit("1"),
+                label2=F.col("pay_ccy"))
+    return _both_models(filters.nonzero(s, "cr01_par"), simm, cols, pl)
 
 
 # ---------------------------------------------------------------- E5 / E6 FX delta + vega
@@ -155,7 +165,8 @@ def credit_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFr
 def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
             legacy_exposure: bool = False) -> DataFrame:
     """E5 (SIMM) + E6 (Schedule) from an FX feed (``c1, c2, pair, delta, vega,
-    exposure_pl, exposure_opt``); each row gives a delta leg and a vega leg (U4)."""
+    exposure_pl, exposure_opt``); each row gives a delta leg and a vega leg (U4),
+    and in the Schedule model each leg gives PV and Notional."""
     s = _prefix(sens, trades, cpty)
     cols = dict(_common(s))
     cols.update({
@@ -163,18 +174,14 @@ def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
         "qualifier": F.col("c1"), "risk_factor": F.col("c1"), "sector": F.lit(""),
         "sens_maturity": F.lit(""), "label2": F.lit(""), "underlying_maturity": F.lit(""),
         "amount_cup0": _zero(), "pnlvar_delta_ir": _zero(), "pnlvar_vega_ir": _zero(),
+        "source_name": F.col("source_name"),
     })
-    nz = filters.nonzero(s, "delta", "vega", mode="any")
-    legs = reshape.fx_legs(nz)
+    legs = reshape.fx_legs(filters.nonzero(s, "delta", "vega", mode="any"))
     exposure = F.when(F.col("risk_type") == "Risk_FX",
                       fx_exposure("c1", "exposure_pl", "c2", "exposure_opt", legacy_exposure)) \
         .otherwise(empty_exposure())
-    simm = _canonical(legs, dict(cols, im_model=F.lit("SIMM"), risk_type=F.col("risk_type"),
-                                 source_name=F.col("source_name"), amount=F.col("amount"),
-                                 pnlvar_delta_fx=exposure), constant_exposure=False)
-    sched_legs = reshape.fx_legs(filters.nonzero(joins.join_pl(s, pl), "delta", "vega", mode="any"))
-    sched = _schedule(sched_legs, dict(cols, source_name=F.col("source_name")))
-    return simm.unionByName(sched)
+    simm = dict(cols, risk_type=F.col("risk_type"), amount=F.col("amount"), pnlvar_delta_fx=exposure)
+    return _both_models(legs, simm, cols, pl, varying_map=True)
 
 
 # ---------------------------------------------------------------- E7 / E8 rates vega
@@ -182,7 +189,8 @@ def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
 def rates_vega(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame) -> DataFrame:
     """E7 (SIMM) + E8 (Schedule) from a rates-vega feed (``risk_factor, vol_group,
     option_tenor, underlying_tenor, vega``; optional ``currency, vega_pnl``).
-    The P&L join (with the trade date) runs before the counterparty join."""
+    The P&L join (with the trade date) runs before the counterparty join, so a
+    row needs P&L in both models."""
     s = _prefix(sens, trades, cpty, pl=pl)
     cols = dict(_common(s))
     cols.update({
@@ -194,9 +202,6 @@ def rates_vega(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFram
         "source_name": F.lit("VegaIR"), "amount_cup0": _zero(), "pnlvar_delta_ir": _zero(),
         "pnlvar_delta_fx": empty_exposure(),
     })
-    nz = filters.nonzero(s, "vega")
-    simm = _canonical(nz, dict(cols, im_model=F.lit("SIMM"), risk_type=F.lit("Risk_IRVol"),
-                               amount=F.col("vega").cast(AMOUNT),
-                               pnlvar_vega_ir=col_or(s, "vega_pnl", _zero()).cast(AMOUNT)))
-    sched = _schedule(nz, dict(cols, pnlvar_vega_ir=_zero()))
-    return simm.unionByName(sched)
+    simm = dict(cols, risk_type=F.lit("Risk_IRVol"), amount=F.col("vega"),
+                pnlvar_vega_ir=col_or(s, "vega_pnl", _zero()))
+    return _both_models(filters.nonzero(s, "vega"), simm, dict(cols, pnlvar_vega_ir=_zero()), None)
