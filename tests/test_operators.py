@@ -211,3 +211,20 @@ def test_margin_table_counters(spark):
     got = {k: v.get["rows"] for k, v in counters.items()}
     assert got["simm_rows"] + got["schedule_rows"] == n
     assert got["resolved"] <= got["unified_feeds"]
+
+
+def test_fill_nearest_balanced_equals_windowed_with_hot_key(spark):
+    rnd = random.Random(23)
+    rows = []
+    for i in range(4000):                      # one hot key: most of the rows
+        rows.append((0, i, None if rnd.random() < 0.7 else rnd.randint(1, 99)))
+    for p in range(1, 150):
+        for i in range(rnd.randint(1, 9)):
+            rows.append((p, i, None if rnd.random() < 0.6 else rnd.randint(1, 99)))
+    rows.append((None, 0, None)); rows.append((None, 1, 5))     # null key stays its own group
+    df = spark.createDataFrame(rows, "p int, i int, v int")
+    a = {(r.p, r.i): (r.v, r.unfillable) for r in fill_nearest(df, "v", ["p"], ["i"]).collect()}
+    b = {(r.p, r.i): (r.v, r.unfillable)
+         for r in fill_nearest(df, "v", ["p"], ["i"], balanced=True, chunks=16).collect()}
+    assert a == b
+    assert len(a) == len(rows)
