@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions._util import as_col
+from ..functions._util import as_col  # noqa: F401
 
 
 def in_scope(df: DataFrame, entity: str = "0182", source: str = "front3",
@@ -83,8 +83,8 @@ def split_model(df: DataFrame, col: str = "im_model", simm: str = "SIMM", schedu
 def in_period(df: DataFrame, ts_col: str, start, end, inclusive_end: bool = False) -> DataFrame:
     """load timestamps within a period; half-open by default (inclusive option)."""
     ts = F.col(ts_col)
-    s, e = (as_col(x) if isinstance(x, (str, Column)) and not isinstance(x, str) else F.lit(x)
-            for x in (start, end))
+    s = start if isinstance(start, Column) else F.lit(start)
+    e = end if isinstance(end, Column) else F.lit(end)
     return df.where((ts >= s) & ((ts <= e) if inclusive_end else (ts < e)))
 
 

@@ -40,7 +40,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="marginflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)   # classic sessions; Connect reads the conf
+    except Exception:  # noqa: BLE001
+        pass
     return current
 
 

@@ -228,3 +228,16 @@ def test_fill_nearest_balanced_equals_windowed_with_hot_key(spark):
          for r in fill_nearest(df, "v", ["p"], ["i"], balanced=True, chunks=16).collect()}
     assert a == b
     assert len(a) == len(rows)
+
+
+def test_route_vol_strict_and_reference_mode(spark):
+    from marginflow.operators.volatility import route_vol
+    rows = [("FX", "VegaFX", ""), ("FX", "DeltaFx", ""), ("FX", "VegaIR", "SV"), ("OPT", "VegaIR", "CV"),
+            (None, "DeltaIR", ""), ("OPT", "DeltaIR", None)]
+    df = spark.createDataFrame(rows, "grp string, source_name string, vol_group_agg string")
+    strict = [r.vol_branch for r in route_vol(df).collect()]
+    assert strict == ["FX", "none", "SV", "CV", "none", "none"]
+    loose = sorted((r.grp or "", r.source_name, r.vol_branch) for r in route_vol(df, strict=False).collect())
+    # group FX catches every feed; the FX-group SV row is emitted twice; null group / vol group vanish
+    assert loose == sorted([("FX", "VegaFX", "FX"), ("FX", "DeltaFx", "FX"), ("FX", "VegaIR", "FX"),
+                            ("FX", "VegaIR", "SV"), ("OPT", "VegaIR", "CV")])
