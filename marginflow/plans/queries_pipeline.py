@@ -265,9 +265,12 @@ def margin_inputs(spark, d) -> MarginInputs:
 _GRID_OF_RISK = ("case when risk_type in ('Risk_IRCurve', 'Risk_IRVol', 'Risk_FXVol') then 'ir' "
                  "when risk_type = 'Risk_CreditQ' then 'cred' end")
 _CARRY = ("source_name, im_model, risk_type, grp, currency_pair, vol_group_agg, risk_factor, underlying_maturity, "
-          "horizon_date, trade_id, amt, cup0, pir, pvg")
+          "horizon_date, trade_id, portfolio, counterparty, qualifier, product_class, dominant_product, match_id, "
+          "amt, cup0, pir, pvg")
+_ROW_COLS = ("trade_id, portfolio, counterparty, match_id, source_name, im_model, risk_type, qualifier, bucket, "
+             "underlying_maturity, product_class, dominant_product, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir")
 
-_MARGIN_SQL = f"""with {_SCOPE_SQL}, {_ADAPT_SQL}, {INTERVALS_CTE}, {_RD_SQL}, {_CR_SQL}, {_FX_SQL}, {_VG_SQL},
+_MARGIN_BODY = f"""with {_SCOPE_SQL}, {_ADAPT_SQL}, {INTERVALS_CTE}, {_RD_SQL}, {_CR_SQL}, {_FX_SQL}, {_VG_SQL},
 unified as (select * from rd_out union all select * from cr_out union all select * from fx_out union all select * from vg_out),
 u1 as (select u.*, tp.product_id from unified u join trade_product tp on u.trade_id = tp.trade_id
        where u.entity = '0182' and u.source_system = 'front3'),
@@ -313,7 +316,8 @@ a_cv as (select *, {code_days_sql('tenor')} as days from (select * from s_cv uni
 n_cv as (select currency, tenor, days, vol from (select *, row_number() over
           (partition by currency, days order by vol is null, tenor) as rn from a_cv) where rn = 1),
 f_cv as (select * from {fill_sql('n_cv', 'vol', 'currency', 'days, tenor')}),
-v_cv as (select r.* exclude (amount), cast(round(r.amount * f.vol, 7) as decimal(23,8)) as amount
+v_cv as (select r.* exclude (amount, underlying_maturity), cast(round(r.amount * f.vol, 7) as decimal(23,8)) as amount,
+                'N/A' as underlying_maturity
          from v1_CV r join f_cv f on r.vol_currency = f.currency and r.bucket = f.tenor),
 sn_SV as (select * from s4 where branch = 'SV'),
 s_sv as (select currency, {recode_sql('tenor')} as tenor, underlying, vol from vol_sv),
@@ -328,18 +332,28 @@ n_sv as (select currency, tenor, underlying, days, underlying_days, vol from (se
 f_sv as (select * from {fill_sql('n_sv', 'vol', 'currency, days', 'underlying_days, underlying')}),
 v_sv as (select r.* exclude (amount), cast(round(r.amount * f.vol, 7) as decimal(23,8)) as amount
          from sn_SV r join f_sv f on r.vol_currency = f.currency and r.bucket = f.tenor and r.underlying_snapped = f.underlying),
-simm_out as (select source_name, im_model, risk_type, bucket, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir from v_fx
-   union all select source_name, im_model, risk_type, bucket, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir from v_cv
-   union all select source_name, im_model, risk_type, bucket, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir from v_sv
-   union all select source_name, im_model, risk_type, bucket, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir from s4 where branch = 'none'),
-all_out as (select * from simm_out union all
-   select source_name, im_model, risk_type, '' as bucket, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir
-   from u3 where im_model is not distinct from 'Schedule')
+simm_rows as (select {_ROW_COLS} from v_fx union all select {_ROW_COLS} from v_cv
+   union all select {_ROW_COLS} from v_sv union all select {_ROW_COLS} from s4 where branch = 'none'),
+all_out as (select * replace (case when qualifier = 'UDI' then 'MXV' else qualifier end as qualifier) from simm_rows
+   union all
+   select trade_id, portfolio, counterparty, match_id, source_name, im_model, risk_type,
+          family || '-' || grp || '-' || typ as qualifier, '' as bucket, underlying_maturity,
+          schedule_class as product_class, dominant_product, amount, amount_cup0, pnlvar_delta_ir, pnlvar_vega_ir
+   from u3 where im_model is not distinct from 'Schedule')"""
+
+_MARGIN_SQL = f"""{_MARGIN_BODY}
 select source_name, im_model, risk_type, bucket, count(*) as n_rows,
   cast(round(sum(amount), 4) as double) as amount, cast(round(sum(amount_cup0), 4) as double) as amount_cup0,
   cast(round(sum(pnlvar_delta_ir), 4) as double) as pnlvar_delta_ir, cast(round(sum(pnlvar_vega_ir), 4) as double) as pnlvar_vega_ir
 from all_out group by source_name, im_model, risk_type, bucket"""
 
+_MARGIN_ROWS_SQL = f"""{_MARGIN_BODY}
+select trade_id, portfolio, counterparty as counterparty_mx, match_id, source_name, im_model, risk_type, qualifier,
+  bucket, underlying_maturity, product_class, dominant_product,
+  cast(round(amount, 4) as double) as amount, cast(round(amount_cup0, 4) as double) as amount_cup0,
+  cast(round(pnlvar_delta_ir, 4) as double) as pnlvar_delta_ir, cast(round(pnlvar_vega_ir, 4) as double) as pnlvar_vega_ir
+from all_out"""
+
 
 def summarise_margin(m):
     return m.groupBy("source_name", "im_model", "risk_type", "bucket").agg(
@@ -352,3 +366,13 @@ def summarise_margin(m):
 def q_margin_table(spark, d):
     """E9 flagship: the 40-column margin table, summarised by feed x model x risk type x bucket."""
     return summarise_margin(margin_table(margin_inputs(spark, d)))
+
+
+@query("margin_rows", _MARGIN_ROWS_SQL)
+def q_margin_rows(spark, d):
+    """E9 row by row: the margin table's identifying columns, classes and amounts."""
+    m = margin_table(margin_inputs(spark, d))
+    return m.select("trade_id", "portfolio", "counterparty_mx", "match_id", "source_name", "im_model",
+                    "risk_type", "qualifier", "bucket", "underlying_maturity", "product_class",
+                    "dominant_product", r4("amount").alias("amount"), r4("amount_cup0").alias("amount_cup0"),
+                    r4("pnlvar_delta_ir").alias("pnlvar_delta_ir"), r4("pnlvar_vega_ir").alias("pnlvar_vega_ir"))
