@@ -301,3 +301,40 @@ select trade_id, line_no, cast(round(dv01_par, 4) as double) as dv01_par, curren
 def q_dedup_trades(spark, d):
     s = dedup.dedup_by(fx.sens_ir(spark, d), ["trade_id", "line_no"], order=["dv01_par", "inflation_par"])
     return s.select("trade_id", "line_no", r4("dv01_par").alias("dv01_par"), "currency", "curve", "strategy")
+
+
+# ---------------------------------------------------------------- more scans and predicates
+
+@query("scan", """
+select o_orderkey, o_custkey, o_totalprice from orders where o_totalprice > 100000 and o_orderstatus = 'F'""")
+def q_scan(spark, d):
+    from ..sources.scan import scan
+    return scan(spark, f"{d.rstrip('/')}/orders.parquet", fields=["o_orderkey", "o_custkey", "o_totalprice"],
+                where=(F.col("o_totalprice") > 100000) & (F.col("o_orderstatus") == "F"))
+
+
+@query("load_xml", """
+select c_custkey from customer where c_custkey % 3 = 0""")
+def q_load_xml(spark, d):
+    from ..sources.scan import load_xml
+    return load_xml(fx.cpty_xml(spark, d), "doc", "CALYPSOID").select("c_custkey")
+
+
+@query("trade_snapshot", """
+select trade_id, portfolio, booked_text, pay_ccy, receive_ccy from trades where source_app = 'FRONT'""")
+def q_trade_snapshot(spark, d):
+    t = dedup.dedup_by(filters.trade_snapshot(fx.trades(spark, d)), ["trade_id", "portfolio"])
+    return t.select("trade_id", "portfolio", "booked_text", "pay_ccy", "receive_ccy")
+
+
+_PERIOD = (dt.datetime(2024, 1, 8, 18), dt.datetime(2024, 1, 15, 18))
+
+
+@query("in_period", f"""
+select path, app_id, strftime(loaded_at, '%Y-%m-%d %H:%M:%S') as loaded_at from file_log
+where loaded_at >= timestamp '{_PERIOD[0]}' and loaded_at < timestamp '{_PERIOD[1]}'""")
+def q_in_period(spark, d):
+    from .registry import ymdhms
+    f = filters.in_period(fx.file_log(spark, d), "loaded_at", F.lit(_PERIOD[0]).cast("timestamp_ntz"),
+                          F.lit(_PERIOD[1]).cast("timestamp_ntz"))
+    return f.select("path", "app_id", ymdhms("loaded_at").alias("loaded_at"))
