@@ -24,7 +24,12 @@ def readiness_batch(log: DataFrame, batch: DataFrame, masks: Mapping[str, Sequen
                     ts_col: str = "loaded_at") -> DataFrame:
     """Readiness of the periods touched by ``batch``, computed from the full ``log``."""
     touched = arrival.working_period(batch.select(ts_col), ts_col).select(*arrival.PERIOD).distinct()
-    rows = arrival.working_period(log, ts_col).join(touched, list(arrival.PERIOD), "left_semi") \
+    # one small row back to the driver: the time span of the touched periods, so the log
+    # read is a pushed-down range scan instead of a pass over the whole history
+    span = touched.agg(F.min("period_start").alias("lo"), F.max("period_end").alias("hi")).first()
+    recent = log.where((F.col(ts_col) >= F.lit(span["lo"]).cast("timestamp_ntz"))
+                       & (F.col(ts_col) < F.lit(span["hi"]).cast("timestamp_ntz")))
+    rows = arrival.working_period(recent, ts_col).join(touched, list(arrival.PERIOD), "left_semi") \
         .drop(*arrival.PERIOD)
     ready = arrival.load_readiness(arrival.tag_file_sets(rows, masks, ts_col=ts_col), masks, app_id, ts_col)
     return ready.withColumn("period", F.date_format("period_start", "yyyyMMddHHmmss"))
