@@ -26,7 +26,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions._util import as_col
 
 # Non-working (day, month) dates besides Saturdays and Sundays.
 HOLIDAYS = ((1, 1), (1, 5), (25, 12))
@@ -203,5 +202,3 @@ def in_log_period(df: DataFrame, ts_col: str, start, end, inclusive_end: bool =
     e = F.lit(end) if not isinstance(end, Column) else end
     return df.where((ts >= s) & ((ts <= e) if inclusive_end else (ts < e)))
 
-
-_ = as_col

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from ..operators import arrival
 from ..sources import fixtures as fx
 from ..session import materialize
-from .registry import query, r4, ymdhms
+from .registry import query, ymdhms
 
 APP_ID = "margin"
 NOW = dt.datetime(2024, 2, 1, 9, 30, 0)
@@ -130,5 +128,3 @@ def q_files_to_record(spark, d):
     return r.select("path", "app_id", ymdhms("loaded_at").alias("loaded_at"), "status", "load",
                     "created_at", "process_date")
 
-
-_ = (F, r4)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import product_key, tenor_days, vol_currency
+from ..functions import tenor_days, vol_currency
 from ..functions.amounts import AMOUNT
 from ..operators import bucketing, reshape
 from ..operators.fill import fill_nearest
@@ -296,5 +296,3 @@ def q_route_vol(spark, d):
     out = route_vol(f.unionByName(v))
     return out.select("trade_id", "line_no", "source_name", "vol_branch")
 
-
-_ = product_key  # re-exported for pipeline modules
