@@ -88,9 +88,12 @@ def tag_file_sets(df: DataFrame, masks: Mapping[str, Sequence[str]], path_col: s
     regex matches the path)."""
     p = working_period(df, ts_col, cutoff, holidays)
     start, end = F.col(PERIOD[0]), F.col(PERIOD[1])
-    pairs = F.array(*[F.struct(F.lit(load).alias("load"), F.lit(m).alias("mask"))
-                      for load, ms in masks.items() for m in ms])
-    hits = F.filter(pairs, lambda x: F.regexp(F.col(path_col), dated_mask(x["mask"], start, end)))
+    # one regex expression per configured mask: each keeps its compiled pattern until the
+    # period changes (log rows arrive in time order), instead of recompiling on every row
+    checks = [F.when(F.regexp(F.col(path_col), dated_mask(F.lit(m), start, end)),
+                     F.struct(F.lit(load).alias("load"), F.lit(m).alias("mask")))
+              for load, ms in masks.items() for m in ms]
+    hits = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return p.withColumn("mask_hits", hits).where(F.size("mask_hits") > 0)
 
 
