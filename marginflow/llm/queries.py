@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, secret_scan
+from . import chat_format, near_dedup, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", *count,
                     F.sha2(F.array_join(only, ",").cast("binary"), 256).alias("base_sha256"),
                     F.array_join("spans", ",").alias("spans")))
+
+
+@query("op7_near_dedup")
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
