@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, near_dedup, secret_scan
+from . import chat_format, near_dedup, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,28 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_near_dedup")
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def fold(n: int):
+    """crc32 of doc_id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep) -> DataFrame:
+    """doc_id, text and label of the labelled rows that ``keep`` allows to learn from; one label per document."""
+    known = (labels.where(F.col(label).isNotNull()).groupBy("doc_id")
+             .agg(F.max(label).cast("int").alias(label)).where(keep))
+    return docs.select("doc_id", "text").where(keep).join(known, "doc_id")
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(training_rows(docs, labels, "toxic", fold(3) != 1))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model)
+            .select("doc_id", (fold(3) == 1).alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted")))
