@@ -39,7 +39,7 @@ from ._text import U64, blocks, mix, seeded, shingles, utf8, word_hashes, words
 REGISTERS = 512
 BANDS, BAND_ROWS = 42, 6
 ZEROS = 14        # leading zeros are counted up to this
-SLACK = 3.5       # standard deviations of the estimate below the threshold
+SLACK = 4.0       # standard deviations of the estimate below the threshold
 BLOCK = 2048      # nodes of a bucket compared at once
 BROADCAST_IDS = 1_000_000   # ids that may be broadcast (8 MB); more of them are joined by shuffle
 
@@ -101,7 +101,17 @@ def hopeful(a, b, n_a, n_b, percent: int) -> np.ndarray:
     j = percent / 100
     est, filled = estimate(a, b, n_a, n_b)
     sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    return sizes & (est >= j - SLACK * np.sqrt(j * (1 - j) / filled))
+    return sizes & (est >= j - SLACK * deviation(j, filled, n_a, n_b))
+
+
+def deviation(j: float, filled, n_a, n_b) -> np.ndarray:
+    """Standard deviation of the estimate for a pair of similarity ``j``.
+
+    The filled registers are a sample without replacement of the union, which
+    they nearly exhaust where sets are small; chance agreement adds a little.
+    """
+    union = np.maximum((np.asarray(n_a) + np.asarray(n_b)) / (1 + j), filled)
+    return np.sqrt(j * (1 - j) / filled * (1 - filled / union) + (1 - j) * 0.011 / filled + 0.5 / union ** 2)
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
