@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, near_dedup, secret_scan, toxicity
+from . import chat_format, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,6 +91,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return (toxicity.score(docs, model)
+    return (toxicity.score(docs, model, keep=["doc_id"])
             .select("doc_id", (fold(3) == 1).alias("held_out"), "score",
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(training_rows(docs, table(spark, sf_dir, "labels"), "quality", fold(5) != 0))
+    return (quality_rules.score(docs, model, keep=["doc_id"])
+            .select("doc_id", (fold(5) == 0).alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted")))

@@ -198,25 +198,24 @@ def fit(labelled: DataFrame) -> Model:
     return fit_rows(rows)
 
 
-def _scorer(model: Model, column: str):
+def _scorer(model: Model, column: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = model.compressors()
         for batch in batches:
             stats = [model.statistics(gains(compress, windows(normalise(t.as_py() or "")))) for t in batch.column("text")]
             found = model.probability(np.array(stats).reshape(-1, _FEATURES))
-            names = [n for n in batch.schema.names if n != column]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(found, pa.float64())],
                                              [*names, column])
     return run
 
 
-def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """``docs`` (all its columns) with the probability that a text is toxic.
+def score(docs: DataFrame, model: Model, column: str = "score", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with the probability that a text is toxic.
 
     Null counts as empty: no window, statistics 0. An input column named
     ``column`` is replaced. Equal texts have equal scores.
     """
-    rest = [f for f in docs.schema.fields if f.name != column]
+    rest = [f for f in docs.schema.fields if f.name != column and (keep is None or f.name in keep)]
     shown = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
     return (docs.withColumn("text", F.col("text").cast("string"))
-            .mapInArrow(_scorer(model, column), f"{shown}, `{column}` double"))
+            .mapInArrow(_scorer(model, column, [f.name for f in rest]), f"{shown}, `{column}` double"))
