@@ -7,7 +7,8 @@ regression over the rules' truth values keeps few of them with a weight, and
 these are compiled into one Spark column: the logistic of a sum of weighted
 ``when`` expressions. Scoring is a projection over the statistics, without a shuffle.
 
-The fit uses at most ``FIT_ROWS`` labelled rows (the first by a hash of doc_id).
+The fit uses at most ``FIT_ROWS`` labelled rows of each label (the first by a hash
+of doc_id), weighted back to the labels' shares.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from ._sample import labelled_sample
 from ._text import blocks, utf8, words
 
-FIT_ROWS = 20_000
+FIT_ROWS = {0: 10_000, 1: 10_000}
 TREES, DEPTH = 12, 3
 LASSO = 0.001
 STEPS = 40          # of the lasso fit
@@ -159,19 +161,18 @@ def _opposite(rule: Rule) -> Rule:
     return ((name, ">" if op == "<=" else "<=", c),)
 
 
-def fit(labelled: DataFrame, label: str = "quality") -> Model:
-    """Fit on ``labelled`` (doc_id, text, ``label`` 0/1). With one class alone: a constant; without rows: 0.5."""
-    sample = (labelled.where(F.col(label).isin(0, 1))
-              .select("text", F.col(label).cast("double").alias("label"), F.xxhash64("doc_id").alias("order"), "doc_id")
-              .orderBy("order", "doc_id", "text").limit(FIT_ROWS))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
+    """Fit on ``docs`` (doc_id, text) with ``labels`` (doc_id, ``label`` 0/1). One class alone: a constant; no rows: 0.5."""
+    sample = (labelled_sample(docs, labels, label, FIT_ROWS)
+              .select(F.col(label).cast("double").alias("label"), "text", "weight"))
     names = list(STATISTICS)
-    rows = materialize(with_statistics(sample.select("label", "text"), ["label"]))
+    rows = materialize(with_statistics(sample, ["label", "weight"]).coalesce(8))
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if n == 0 or ones in (0, n):
         return Model(0.0 if n == 0 else 8.0 if ones else -8.0, [])
-    vectors = rows.select("label", array_to_vector(F.array(*(f"q_{x}" for x in names))).alias("features"))
+    vectors = rows.select("label", "weight", array_to_vector(F.array(*(f"q_{x}" for x in names))).alias("features"))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=64,
-                                    featureSubsetStrategy="0.5").fit(vectors)
+                                    featureSubsetStrategy="0.5", weightCol="weight").fit(vectors)
     rules: dict[Rule, None] = {}
     for tree in forest.trees:
         for rule in _paths(tree._call_java("rootNode"), names, []):
@@ -180,9 +181,9 @@ def fit(labelled: DataFrame, label: str = "quality") -> Model:
     order = list(rules)
     if not order:
         return Model(0.0, [])
-    truth = materialize(rows.select("label", F.array(*(condition(r).cast("double") for r in order)).alias("truth")))
-    lasso = LogisticRegression(regParam=LASSO, elasticNetParam=1.0, standardization=False, maxIter=STEPS, tol=1e-5).fit(
-        truth.select("label", array_to_vector("truth").alias("features")))
+    truth = materialize(rows.select("label", "weight", F.array(*(condition(r).cast("double") for r in order)).alias("truth")))
+    lasso = LogisticRegression(regParam=LASSO, elasticNetParam=1.0, standardization=False, maxIter=STEPS, tol=1e-5, weightCol="weight").fit(
+        truth.select("label", "weight", array_to_vector("truth").alias("features")))
     weights = [float(w) for w in lasso.coefficients]
     return Model(float(lasso.intercept), [(r, w) for r, w in zip(order, weights) if w])
 

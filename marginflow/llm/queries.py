@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, line_dedup, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,15 +76,8 @@ def fold(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep) -> DataFrame:
-    """doc_id, text and label of the labelled rows that ``keep`` allows to learn from; one label per document."""
-    known = (labels.where(F.col(label).isNotNull()).groupBy("doc_id")
-             .agg(F.max(label).cast("int").alias(label)).where(keep))
-    return docs.select("doc_id", "text").where(keep).join(known, "doc_id")
-
-
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
-    return toxicity.fit(training_rows(docs, labels, "toxic", fold(3) != 1))
+    return toxicity.fit(docs, labels.where(fold(3) != 1))
 
 
 @query("op10_toxicity")
@@ -99,7 +92,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality_rules.fit(training_rows(docs, table(spark, sf_dir, "labels"), "quality", fold(5) != 0))
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
     return (quality_rules.score(docs, model, keep=["doc_id"])
             .select("doc_id", (fold(5) == 0).alias("held_out"), "score",
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
+_OP8_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, text, coalesce(source, '') AS site, string_split(text, chr(10)) AS parts FROM documents WHERE text <> ''),
+keyed AS (
+  SELECT doc_id, text, site, parts, list_transform(parts, lambda x: CASE WHEN trim(lower(x)) <> ''
+    THEN CAST('0x' || substr(md5(trim(lower(x))), 1, 15) AS BIGINT) END) AS keys FROM cut),
+least AS (
+  SELECT *, list_sort(list_distinct(list_filter(keys, lambda x: x IS NOT NULL))) AS low FROM keyed),
+exploded AS (
+  SELECT doc_id, site, low, unnest(keys) AS key, unnest(parts) AS part, unnest(range(len(keys))) AS pos FROM least),
+lines AS (
+  SELECT *, CASE WHEN key = low[1] THEN low[2] ELSE low[1] END AS context FROM exploded WHERE key IS NOT NULL),
+bad AS (
+  SELECT key FROM lines GROUP BY key
+  HAVING count(DISTINCT site) >= 5 AND count(context) > 0 AND count(DISTINCT context) >= count(context) * 0.75),
+marked AS (SELECT e.*, b.key IS NOT NULL AS gone FROM exploded e LEFT JOIN bad b ON e.key = b.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+  coalesce(string_agg(part, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+FROM marked GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, text FROM documents WHERE text IS NULL OR text = ''
+"""
+
+
+@query("op8_line_dedup", _OP8_SQL)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")

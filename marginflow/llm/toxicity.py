@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._sample import labelled_sample
+
 FIT_ROWS = {0: 4000, 1: 2000}
 FIT_CHARS = 50_000
 WINDOW = 64          # bytes; so few literals stay uncompressed, and gains count whole bytes
@@ -153,10 +155,10 @@ def _passages(data: bytes, grams: np.ndarray) -> bytes:
     return np.frombuffer(data, np.uint8)[covered].tobytes()
 
 
-def fit_rows(rows: list[tuple[str, int]]) -> Model:
-    """Fit on (text, label) rows held here; without rows of both classes nothing is toxic."""
-    rows = [(normalise(t or ""), int(y)) for t, y in dict(rows).items()]  # copies tell nothing new
-    toxic, ordinary = [t for t, y in rows if y == 1], [t for t, y in rows if y == 0]
+def fit_rows(rows: list[tuple[str, int, float]]) -> Model:
+    """Fit on (text, label, weight) rows held here; without rows of both classes nothing is toxic."""
+    rows = {t: (normalise(t), int(y), w) for t, y, w in rows}.values()  # copies tell nothing new
+    toxic, ordinary = [t for t, y, _ in rows if y == 1], [t for t, y, _ in rows if y == 0]
     model = Model()
     if not toxic or not ordinary:
         return model
@@ -174,12 +176,13 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
     sample = toxic + ordinary
     x = np.array([model.statistics(gains(compress, windows(t))) for t in sample])
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
+    weight = np.array([w for _, v, w in rows if v == 1] + [w for _, v, w in rows if v == 0])
     model.mean, model.spread = x.mean(0), x.std(0) + 1e-9
     a = np.column_stack([np.ones(len(x)), (x - model.mean) / model.spread])
     w, ridge = np.zeros(a.shape[1]), np.array([1e-6] + [0.3] * _FEATURES)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge), a.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(ridge), a.T @ (weight * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -187,15 +190,10 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
     return model
 
 
-def fit(labelled: DataFrame) -> Model:
-    """Fit on ``labelled`` (doc_id, text, toxic 0/1): a sample of it bounded by FIT_ROWS and FIT_CHARS."""
-    rows: list[tuple[str, int]] = []
-    for label, most in FIT_ROWS.items():
-        part = (labelled.where((F.col("toxic") == label) & F.col("text").isNotNull() & (F.length("text") <= FIT_CHARS))
-                .select("text", "toxic", F.xxhash64("doc_id").alias("order"), "doc_id")
-                .orderBy("order", "doc_id", "text").limit(most))
-        rows += [(r["text"], r["toxic"]) for r in part.select("text", "toxic").collect()]
-    return fit_rows(rows)
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit on ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic 0/1): on a sample bounded by FIT_ROWS and FIT_CHARS."""
+    sample = labelled_sample(docs, labels, "toxic", FIT_ROWS).where(F.length("text") <= FIT_CHARS)
+    return fit_rows(sorted(tuple(r) for r in sample.select("text", "toxic", "weight").collect()))
 
 
 def _scorer(model: Model, column: str, names: list[str]):
