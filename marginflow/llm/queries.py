@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, line_dedup, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, decontaminate, line_dedup, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -125,3 +125,8 @@ UNION ALL SELECT doc_id, 0, 0, text FROM documents WHERE text IS NULL OR text =
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
