@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, line_dedup, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, decontaminate, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontaminate")
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_mixing", mixing.oracle_sql())
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    weighed = mixing.weigh(docs, mixing.fit_mixture(docs))
+    return weighed.select("doc_id", "topic", "n_tokens", F.round("weight", 6).alias("weight"),
+                          F.round("probability", 6).alias("probability"), "selected")
