@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, decontaminate, fingerprint, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,3 +138,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighed = mixing.weigh(docs, mixing.fit_mixture(docs))
     return weighed.select("doc_id", "topic", "n_tokens", F.round("weight", 6).alias("weight"),
                           F.round("probability", 6).alias("probability"), "selected")
+
+
+@query("op3_fingerprint")
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
