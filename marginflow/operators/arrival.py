@@ -184,24 +184,16 @@ def stamp_processed(df: DataFrame, app_id: str, now: dt.datetime, app_col: str =
 def files_to_record(tagged: DataFrame, masks: Mapping[str, Sequence[str]], app_id: str,
                     now: dt.datetime, ts_col: str = "loaded_at", app_col: str = "app_id",
                     common: str = COMMON) -> DataFrame:
-    """A4: new common files of periods whose common set is complete, plus new files of
-    every complete load in those periods (union all), stamped by S7."""
+    """A4: in periods of which some load is (re)built, the new common files and the new
+    files of every complete load (union all), stamped by S7. Where nothing is built
+    nothing is recorded, so the files stay new for the next run."""
     readiness = load_readiness(tagged, masks, app_id, ts_col, app_col, common)
-    flags = readiness.select(*PERIOD, "load", "common_complete", "load_complete")
-    common_ok = flags.select(*PERIOD, "common_complete").distinct().where("common_complete") \
-        .select(*PERIOD, F.lit(common).alias("load"))
-    loads_ok = flags.where(F.col("common_complete") & F.col("load_complete")).select(*PERIOD, "load")
-    wanted = common_ok.unionByName(loads_ok)
+    built = feeds_to_build(readiness).select(*PERIOD).distinct()
+    loads_ok = readiness.where(F.col("common_complete") & F.col("load_complete")).select(*PERIOD, "load") \
+        .join(built, list(PERIOD), "left_semi")
+    wanted = built.select(*PERIOD, F.lit(common).alias("load")).unionByName(loads_ok)
     fresh = new_files(file_sets(tagged), app_id, ts_col, app_col)
     out = fresh.join(wanted, [*PERIOD, "load"], "left_semi")
     keep = [c for c in out.columns if c not in (*PERIOD,)]
     return stamp_processed(out.select(*keep), app_id, now, app_col)
 
-
-def in_log_period(df: DataFrame, ts_col: str, start, end, inclusive_end: bool = False) -> DataFrame:
-    """F12 on a log: load time within [start, end) (or [start, end])."""
-    ts = F.col(ts_col)
-    s = F.lit(start) if not isinstance(start, Column) else start
-    e = F.lit(end) if not isinstance(end, Column) else end
-    return df.where((ts >= s) & ((ts <= e) if inclusive_end else (ts < e)))
-

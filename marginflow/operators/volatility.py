@@ -3,7 +3,7 @@
 Surfaces are completed before use: nodes that vega rows ask for but the
 surface lacks are added (anti join), then every null vol takes its nearest
 known neighbour (closed-form fill, no iteration and no extra Spark job).
-Each node appears once in the completed surface, so the final equi join
+Each label appears once in the completed surface, so the final equi join
 never fans out on duplicate nodes. Surfaces are bounded by
 currencies x tenors (x underlyings); the vega rows they scale are not.
 """
@@ -84,28 +84,23 @@ def complete_surface(requested: DataFrame, surface: DataFrame, with_underlying:
     then fill every null vol from its nearest known neighbour.
 
     ``requested`` holds ``currency, tenor`` (and ``underlying``) of the nodes
-    vega rows will look up. CV fills along tenor days per currency (W1); SV
+    vega rows will look up. Every label of the surface stays a node, also where
+    two labels have the same day count; a label that is quoted twice is one node
+    (its least vol). CV fills along tenor days per currency (W1); SV
     fills along underlying days per (currency, tenor days) (W2), overridable
     with ``partition`` / ``order``. Output: ``currency, tenor, [underlying,]
     days, [underlying_days,] vol, unfillable``.
     """
     keys = ["currency", "tenor"] + (["underlying"] if with_underlying else [])
-    nodes = _surface_nodes(surface, with_underlying)
-    missing = requested.select(*keys).distinct().join(nodes.select(*keys), keys, "left_anti") \
-        .withColumn("vol", F.lit(None).cast(nodes.schema["vol"].dataType))
-    full = nodes.unionByName(missing).withColumn("days", tenor_code_days(F.col("tenor")))
+    known = _surface_nodes(surface, with_underlying).groupBy(*keys).agg(F.min("vol").alias("vol"))
+    missing = requested.select(*keys).distinct().join(known.select(*keys), keys, "left_anti") \
+        .withColumn("vol", F.lit(None).cast(known.schema["vol"].dataType))
+    full = known.unionByName(missing).withColumn("days", tenor_code_days(F.col("tenor")))
     if with_underlying:
         full = full.withColumn("underlying_days", tenor_code_days(F.col("underlying")))
-        # One node per (currency, days, underlying days)
-        full = full.groupBy("currency", "days", "underlying_days").agg(
-            F.min(F.struct(F.col("vol").isNull().alias("_n"), "tenor", "underlying", "vol")).alias("_r")
-        ).select("currency", "_r.tenor", "_r.underlying", "days", "underlying_days", "_r.vol")
         partition = partition or ["currency", "days"]
-        order = order or ["underlying_days", "underlying"]
+        order = order or ["underlying_days", "underlying", "tenor"]
     else:
-        full = full.groupBy("currency", "days").agg(
-            F.min(F.struct(F.col("vol").isNull().alias("_n"), "tenor", "vol")).alias("_r")
-        ).select("currency", "_r.tenor", "days", "_r.vol")
         partition = partition or ["currency"]
         order = order or ["days", "tenor"]
     return fill_nearest(full, "vol", partition, order)

@@ -118,8 +118,11 @@ def q_feeds_to_build(spark, d):
 
 @query("files_to_record", f"""
 with {_WP_SQL},
-wanted as (select distinct period_start, period_end, 'common' as load from ready where common_complete
-           union all select period_start, period_end, load from ready where common_complete and load_complete)
+built as (select distinct period_start, period_end from ready
+          where common_complete and load_complete and (new_common_files > 0 or new_load_files > 0)),
+wanted as (select period_start, period_end, 'common' as load from built
+           union all select period_start, period_end, load from ready join built using (period_start, period_end)
+           where common_complete and load_complete)
 select f.path, 'margin' as app_id, strftime(f.loaded_at, {_TS}) as loaded_at, f.status, f.load,
        '2024-02-01 09:30:00:000' as created_at, '20240201' as process_date
 from fresh f join wanted w using (period_start, period_end, load)""")

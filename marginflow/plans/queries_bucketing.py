@@ -13,8 +13,8 @@ from ..operators.volatility import (bucket_fx_vol, complete_surface, route_vol,
 from ..sources import fixtures as fx
 from ..sources.scan import read_table
 from .registry import query, r4
-from .sqlfrag import (INTERVALS_CTE, allocate_sql, code_days_sql, fill_sql, nearest_sql,
-                      recode_sql, tenor_days_sql, vol_ccy_sql)
+from .sqlfrag import (INTERVALS_CTE, allocate_sql, fill_sql, nearest_sql, surface_cv_sql,
+                      surface_sv_sql, tenor_days_sql, vol_ccy_sql)
 
 AS_OF_SQL = "date '1998-06-01'"
 
@@ -152,18 +152,18 @@ def q_nearest_tenor(spark, d):
 # ---------------------------------------------------------------- gap fill
 
 @query("fill_nearest", f"""
-with src as (select o_orderkey, o_custkey, o_orderdate,
+with src as (select o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_orderpriority,
                     case when o_orderkey % 3 = 0 then null else o_totalprice end as price from orders)
-select o_orderkey, o_custkey, cast(round(filled, 4) as double) as filled
+select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, cast(round(filled, 4) as double) as filled
 from {fill_sql('src', 'price', 'o_custkey', 'o_orderdate, o_orderkey', 'filled')} f""")
 def q_fill_nearest(spark, d):
     o = read_table(spark, d, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate",
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority",
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("o_totalprice")).alias("price"))
     # a customer may own a third of all orders: the balanced form never fills one key in one task
     out = fill_nearest(o, "price", ["o_custkey"], ["o_orderdate", "o_orderkey"], out_col="filled",
                        balanced=True)
-    return out.select("o_orderkey", "o_custkey", r4("filled").alias("filled"))
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", r4("filled").alias("filled"))
 
 
 # ---------------------------------------------------------------- volatility
@@ -190,28 +190,11 @@ def _vega_rows_sql(g: str) -> str:
         alloc=allocate_sql(f"v0_{g}", "trade_id, line_no, vol_currency, und_days"))
 
 
-_CV_SURFACE_SQL = f"""
-s_cv as (select currency, {recode_sql('tenor')} as tenor, vol from vol_cv),
-m_cv as (select distinct vol_currency as currency, bucket as tenor, cast(null as decimal(23,8)) as vol from v1_CV r
-         where not exists (select 1 from s_cv s where s.currency = r.vol_currency and s.tenor = r.bucket)),
-a_cv as (select *, {code_days_sql('tenor')} as days from (select * from s_cv union all select * from m_cv)),
-n_cv as (select currency, tenor, days, vol from (select *, row_number() over
-          (partition by currency, days order by vol is null, tenor) as rn from a_cv) where rn = 1),
-f_cv as (select * from {fill_sql('n_cv', 'vol', 'currency', 'days, tenor')})"""
+_CV_SURFACE_SQL = surface_cv_sql()
 
 _SV_SURFACE_SQL = f"""
 sn_SV as (select trade_id, line_no, vol_currency, bucket, value, snapped as underlying_snapped from
-          {nearest_sql('v1_SV', 'trade_id, line_no, vol_currency, bucket, value', 'und_days')} q),
-s_sv as (select currency, {recode_sql('tenor')} as tenor, underlying, vol from vol_sv),
-m_sv as (select distinct vol_currency as currency, bucket as tenor, underlying_snapped as underlying,
-                cast(null as decimal(23,8)) as vol from sn_SV r
-         where not exists (select 1 from s_sv s where s.currency = r.vol_currency and s.tenor = r.bucket
-                                                 and s.underlying = r.underlying_snapped)),
-a_sv as (select *, {code_days_sql('tenor')} as days, {code_days_sql('underlying')} as underlying_days
-         from (select * from s_sv union all select * from m_sv)),
-n_sv as (select currency, tenor, underlying, days, underlying_days, vol from (select *, row_number() over
-          (partition by currency, days, underlying_days order by vol is null, tenor, underlying) as rn from a_sv) where rn = 1),
-f_sv as (select * from {fill_sql('n_sv', 'vol', 'currency, days', 'underlying_days, underlying')})"""
+          {nearest_sql('v1_SV', 'trade_id, line_no, vol_currency, bucket, value', 'und_days')} q),{surface_sv_sql()}"""
 
 
 @query("complete_surface_cv", f"""

@@ -11,7 +11,7 @@ from . import feeds
 from .pipeline import MarginInputs, margin_table
 from .queries_basic import _SCOPE_SQL, _cpty_scope
 from .registry import query, r4, ymd
-from .sqlfrag import (INTERVALS_CTE, allocate_sql, code_days_sql, fill_sql, nearest_sql, recode_sql,
+from .sqlfrag import (INTERVALS_CTE, allocate_sql, nearest_sql, surface_cv_sql, surface_sv_sql,
                       tenor_days_sql, vol_ccy_sql)
 
 AS_OF_SQL = "date '1998-06-01'"
@@ -309,27 +309,12 @@ vb as (select * from {allocate_sql('vq', 'pair, vol_type')}),
 v_fx as (select s.* exclude (amount), cast(round(s.amount * vb.value, 7) as decimal(23,8)) as amount
          from s4 s join vb on s.grp = vb.vol_type and s.currency_pair = vb.pair and s.bucket = vb.bucket where s.branch = 'FX'),
 v1_CV as (select * from s4 where branch = 'CV'),
-s_cv as (select currency, {recode_sql('tenor')} as tenor, vol from vol_cv),
-m_cv as (select distinct vol_currency as currency, bucket as tenor, cast(null as decimal(23,8)) as vol from v1_CV r
-         where not exists (select 1 from s_cv s where s.currency = r.vol_currency and s.tenor = r.bucket)),
-a_cv as (select *, {code_days_sql('tenor')} as days from (select * from s_cv union all select * from m_cv)),
-n_cv as (select currency, tenor, days, vol from (select *, row_number() over
-          (partition by currency, days order by vol is null, tenor) as rn from a_cv) where rn = 1),
-f_cv as (select * from {fill_sql('n_cv', 'vol', 'currency', 'days, tenor')}),
+{surface_cv_sql()},
 v_cv as (select r.* exclude (amount, underlying_maturity), cast(round(r.amount * f.vol, 7) as decimal(23,8)) as amount,
                 'N/A' as underlying_maturity
          from v1_CV r join f_cv f on r.vol_currency = f.currency and r.bucket = f.tenor),
 sn_SV as (select * from s4 where branch = 'SV'),
-s_sv as (select currency, {recode_sql('tenor')} as tenor, underlying, vol from vol_sv),
-m_sv as (select distinct vol_currency as currency, bucket as tenor, underlying_snapped as underlying,
-                cast(null as decimal(23,8)) as vol from sn_SV r
-         where not exists (select 1 from s_sv s where s.currency = r.vol_currency and s.tenor = r.bucket
-                                                 and s.underlying = r.underlying_snapped)),
-a_sv as (select *, {code_days_sql('tenor')} as days, {code_days_sql('underlying')} as underlying_days
-         from (select * from s_sv union all select * from m_sv)),
-n_sv as (select currency, tenor, underlying, days, underlying_days, vol from (select *, row_number() over
-          (partition by currency, days, underlying_days order by vol is null, tenor, underlying) as rn from a_sv) where rn = 1),
-f_sv as (select * from {fill_sql('n_sv', 'vol', 'currency, days', 'underlying_days, underlying')}),
+{surface_sv_sql()},
 v_sv as (select r.* exclude (amount), cast(round(r.amount * f.vol, 7) as decimal(23,8)) as amount
          from sn_SV r join f_sv f on r.vol_currency = f.currency and r.bucket = f.tenor and r.underlying_snapped = f.underlying),
 simm_rows as (select {_ROW_COLS} from v_fx union all select {_ROW_COLS} from v_cv

@@ -33,11 +33,13 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only set our own when it is
-    unset (local tests), and then under a fresh scratch directory.
+    A cluster names a shared folder there. Only a local session, which has one
+    machine, gets a fresh scratch directory where it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="marginflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

@@ -32,10 +32,10 @@ FIXTURE_SQL = {
         """select 'K'||cast(c_custkey as string) as short_name, '0182' as entity, 'CT'||cast(c_custkey as string) as contract, date '1996-01-01' + cast(c_custkey%900 as int) as effective from customer where c_custkey%6=0"""
     ),
     "products": (
-        """select cast(p_partkey as int) as product_id, p_size as weight, case when p_partkey%4=0 then 'N' else 'Y' end as eligible, case when p_partkey%5=0 then 'N' else 'Y' end as credit_risk, p_type as product_class, p_brand as schedule_class from part where p_partkey between 82 and 231"""
+        """select cast(p_partkey as int) as product_id, p_size as weight, case when p_partkey%4=0 then 'N' else 'Y' end as eligible, case when p_partkey%5=0 then 'N' else 'Y' end as credit_risk, p_type as product_class, p_brand as schedule_class from part"""
     ),
     "trade_product": (
-        """select 'T'||cast(o_orderkey as string) as trade_id, cast(82+o_orderkey%150 as int) as product_id from orders"""
+        """select 'T'||cast(o_orderkey as string) as trade_id, cast(1+o_orderkey%((select max(p_partkey) from part)+20) as int) as product_id from orders"""
     ),
     "portfolios": (
         """select distinct 'PF'||cast(c_custkey%20 as string) as portfolio, case when c_custkey%20<15 then '0' else '1' end as excluded from customer"""
@@ -47,16 +47,16 @@ FIXTURE_SQL = {
         """select * from (values ('ir',14,'2W'),('ir',30,'1M'),('ir',90,'3M'),('ir',180,'6M'),('ir',365,'1Y'),('ir',730,'2Y'),('ir',1095,'3Y'),('ir',1825,'5Y'),('ir',3650,'10Y'),('ir',5475,'15Y'),('ir',7300,'20Y'),('ir',10950,'30Y'),('cred',365,'1Y'),('cred',730,'2Y'),('cred',1095,'3Y'),('cred',1825,'5Y'),('cred',3650,'10Y')) g(grid_type,days,label)"""
     ),
     "vol_cv": (
-        """select c.ccy as currency, t.label as tenor, t.days, case when (length(t.label)*7+t.days+c.k)%3=0 then null else cast(t.days%97+c.k as decimal(23,8)) end as vol from (values ('EUR',1),('USD',2),('GBP',3),('MXN',4)) c(ccy,k) cross join (values (14,'2W'),(30,'1M'),(90,'3M'),(180,'6M'),(365,'1Y'),(1095,'3Y'),(3650,'10Y')) t(days,label)"""
+        """select c.ccy as currency, case when c.ccy='USD' and t.label='2W' then '14D' else t.label end as tenor, t.days, case when (length(t.label)*7+t.days+c.k)%3=0 then null else cast(t.days%97+c.k as decimal(23,8)) end as vol from (values ('EUR',1),('USD',2),('GBP',3),('MXN',4)) c(ccy,k) cross join (values (14,'2W'),(30,'1M'),(90,'3M'),(180,'6M'),(365,'1Y'),(1095,'3Y'),(3650,'10Y')) t(days,label) union all select * from (values ('EUR','14D',14,40),('GBP','12M',365,7),('GBP','6M',180,99),('USD','30D',30,null)) e(ccy,label,days,vol)"""
     ),
     "vol_sv": (
-        """select c.ccy as currency, t.label as tenor, t.days, u.ulabel as underlying, u.udays as underlying_days, case when (t.days+u.udays+c.k)%4=0 then null else cast(t.days%89+u.udays%13+c.k as decimal(23,8)) end as vol from (values ('EUR',1),('USD',2),('GBP',3),('MXN',4)) c(ccy,k) cross join (values (30,'1M'),(180,'6M'),(365,'1Y'),(1825,'5Y')) t(days,label) cross join (values (730,'2Y'),(1825,'5Y'),(3650,'10Y')) u(udays,ulabel)"""
+        """select c.ccy as currency, t.label as tenor, t.days, u.ulabel as underlying, u.udays as underlying_days, case when (t.days+u.udays+c.k)%4=0 then null else cast(t.days%89+u.udays%13+c.k as decimal(23,8)) end as vol from (values ('EUR',1),('USD',2),('GBP',3),('MXN',4)) c(ccy,k) cross join (values (30,'1M'),(180,'6M'),(365,'1Y'),(1825,'5Y')) t(days,label) cross join (values (730,'2Y'),(1825,'5Y'),(3650,'10Y')) u(udays,ulabel) union all select * from (values ('EUR','30D',30,'2Y',730,50),('USD','12M',365,'5Y',1825,9),('GBP','6M',180,'5Y',1825,3)) e(ccy,label,days,ulabel,udays,vol)"""
     ),
     "vol_fx": (
         """select p.pair, 'FX' as vol_type, t.label as tenor, t.days, date '2019-05-20' as as_of, cast(t.days%11+1 as decimal(23,8)) as vol from (values ('EURUSD'),('EURGBP')) p(pair) cross join (values (7,'1W'),(14,'2W'),(60,'2M'),(400,'M13'),(12000,'33Y')) t(days,label)"""
     ),
     "file_log": (
-        """select 'sta/'||event_type||'_'||cast(extract(year from ts) as string)||lpad(cast(extract(month from ts) as string),2,'0')||lpad(cast(extract(day from ts) as string),2,'0')||'.txt' as path, case when user_id%10=0 then 'margin' else 'ingest' end as app_id, ts as loaded_at, case when event_id%20=0 then 'Failed' else 'Processed' end as status from events"""
+        """select 'sta/'||event_type||'_'||cast(extract(year from ts) as string)||lpad(cast(extract(month from ts) as string),2,'0')||lpad(cast(extract(day from ts) as string),2,'0')||'.txt' as path, case when user_id%10=0 then 'margin' else 'ingest' end as app_id, ts as loaded_at, case when event_id%20=0 then 'Failed' else 'Processed' end as status from events where event_type<>'error' or extract(day from ts)%5<>0"""
     ),
     "masks": (
         """select * from (values ('common','.*sta/view_{FI}[.]txt$'),('common','.*sta/click_{FI}[.]txt$'),('rates','.*sta/error_{FI}[.]txt$'),('fx','.*sta/nosuch_{FI}[.]txt$')) m(load,mask)"""

@@ -193,7 +193,7 @@ def perimeter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def products(spark: SparkSession, d: str) -> DataFrame:
-    p = read_table(spark, d, "part").where(F.col("p_partkey").between(82, 231))
+    p = read_table(spark, d, "part")
     return p.select(
         F.col("p_partkey").cast("int").alias("product_id"),
         F.col("p_size").alias("weight"),
@@ -206,8 +206,10 @@ def products(spark: SparkSession, d: str) -> DataFrame:
 
 def trade_product(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders")
-    return o.select(_trade("o_orderkey").alias("trade_id"),
-                    (F.lit(82) + F.col("o_orderkey") % 150).cast("int").alias("product_id"))
+    last = read_table(spark, d, "part").agg(F.max("p_partkey").alias("last"))   # one row
+    return o.join(F.broadcast(last)).select(
+        _trade("o_orderkey").alias("trade_id"),
+        (F.lit(1) + F.col("o_orderkey") % (F.col("last") + 20)).cast("int").alias("product_id"))
 
 
 def portfolios(spark: SparkSession, d: str) -> DataFrame:
@@ -225,7 +227,8 @@ def match_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def file_log(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "events")
+    # no error files on every fifth day: periods with the common set and no complete load
+    e = read_table(spark, d, "events").where((F.col("event_type") != "error") | (F.dayofmonth("ts") % 5 != 0))
     return e.select(
         F.concat(F.lit("sta/"), F.col("event_type"), F.lit("_"), F.date_format("ts", "yyyyMMdd"),
                  F.lit(".txt")).alias("path"),
@@ -257,17 +260,15 @@ _CCY_K = [("EUR", 1), ("USD", 2), ("GBP", 3), ("MXN", 4)]
 _CV_TENORS = [(14, "2W"), (30, "1M"), (90, "3M"), (180, "6M"), (365, "1Y"), (1095, "3Y"), (3650, "10Y")]
 _SV_TENORS = [(30, "1M"), (180, "6M"), (365, "1Y"), (1825, "5Y")]
 _SV_UNDERLYINGS = [(730, "2Y"), (1825, "5Y"), (3650, "10Y")]
+# Surface labels that share a day count with a grid label, stand in its place, or repeat a node.
+_CV_EXTRA = [("EUR", "14D", 14, 40), ("GBP", "12M", 365, 7), ("GBP", "6M", 180, 99), ("USD", "30D", 30, None)]
+_SV_EXTRA = [("EUR", "30D", 30, "2Y", 730, 50), ("USD", "12M", 365, "5Y", 1825, 9), ("GBP", "6M", 180, "5Y", 1825, 3)]
 _FX_PAIRS = ["EURUSD", "EURGBP"]
 _FX_TENORS = [(7, "1W"), (14, "2W"), (60, "2M"), (400, "M13"), (12000, "33Y")]
 
 
 def grid(spark: SparkSession, d: str | None = None) -> DataFrame:
-    df = spark.createDataFrame(GRID_ROWS, "grid_type string, days int, label string")
-    try:
-        df._mf_known_rows = len(GRID_ROWS)   # built from an in-memory list: its size is known
-    except Exception:  # noqa: BLE001
-        pass
-    return df
+    return spark.createDataFrame(GRID_ROWS, "grid_type string, days int, label string")
 
 
 def masks(spark: SparkSession, d: str | None = None) -> DataFrame:
@@ -280,7 +281,8 @@ def vol_cv(spark: SparkSession, d: str | None = None) -> DataFrame:
     for ccy, k in _CCY_K:
         for days, label in _CV_TENORS:
             vol = None if (len(label) * 7 + days + k) % 3 == 0 else days % 97 + k
-            rows.append((ccy, label, days, vol))
+            rows.append((ccy, "14D" if (ccy, label) == ("USD", "2W") else label, days, vol))
+    rows += _CV_EXTRA
     return spark.createDataFrame(rows, "currency string, tenor string, days int, vol int") \
         .withColumn("vol", F.col("vol").cast("decimal(23,8)"))
 
@@ -292,6 +294,7 @@ def vol_sv(spark: SparkSession, d: str | None = None) -> DataFrame:
             for udays, ulabel in _SV_UNDERLYINGS:
                 vol = None if (days + udays + k) % 4 == 0 else days % 89 + udays % 13 + k
                 rows.append((ccy, label, days, ulabel, udays, vol))
+    rows += _SV_EXTRA
     return spark.createDataFrame(
         rows, "currency string, tenor string, days int, underlying string, underlying_days int, vol int"
     ).withColumn("vol", F.col("vol").cast("decimal(23,8)"))

@@ -10,23 +10,9 @@ from pyspark.sql import functions as F
 PARTITION_KEYS = ("year", "month", "day")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of a (read-only) data directory, read once per session.
-
-    Every feed, join and fixture reuses the same lazy relation: one file
-    listing per table, and identical scans across a plan let adaptive
-    execution reuse their exchanges.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """One parquet table of a data directory; identical scans of a plan are reused by its exchanges."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def scan(spark: SparkSession, source: str, fields=None, day: dt.date | None = None,

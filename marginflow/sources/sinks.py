@@ -10,13 +10,13 @@ PARTITION_KEYS = ("year", "month", "day")
 
 
 def _spread(df: DataFrame, files: int | None) -> DataFrame:
-    # round-robin: even files with no key skew; None leaves the count to AQE coalescing
-    return df.repartition(files) if files else df
+    # None: adaptive execution deals rows to partitions of its advisory size; a number: so many even files
+    return df.repartition(files) if files else df.hint("rebalance")
 
 
-def write_append(df: DataFrame, path: str, files: int | None = 8, fmt: str = "parquet",
+def write_append(df: DataFrame, path: str, files: int | None = None, fmt: str = "parquet",
                  partition_by: Sequence[str] = ()) -> None:
-    """S5 + S8: append rows (the processed-file log) as ``files`` output files."""
+    """S5 + S8: append rows (the processed-file log) ; ``files`` fixes the number of output files."""
     w = _spread(df, files).write.mode("append").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -24,7 +24,7 @@ def write_append(df: DataFrame, path: str, files: int | None = 8, fmt: str = "pa
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str] = PARTITION_KEYS,
-                     files: int | None = 8, fmt: str = "parquet") -> None:
+                     files: int | None = None, fmt: str = "parquet") -> None:
     """S6 + S8: overwrite only the partitions present in ``df`` (dynamic overwrite),
     so rerunning a day replaces that day and leaves the others alone."""
     (_spread(df, files).write.mode("overwrite").format(fmt)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marginflow.operators import arrival, bucketing, dedup, joins, products, reshape
 from marginflow.operators.fill import fill_nearest
+from marginflow.operators.volatility import complete_surface
 from marginflow.operators.xml import extract_roles
 from marginflow.sources import fixtures as fx
 
@@ -24,15 +25,38 @@ def test_allocate_cases(spark, intervals):
     assert got == [(1, "2W", 100.0), (2, "1Y", 100.0), (3, "1Y", 48.6486), (3, "6M", 51.3514), (4, "30Y", 100.0)]
 
 
-def test_allocate_fallback_matches_broadcast(spark, intervals):
+def test_allocate_on_fine_grids_and_null_days(spark):
+    """The same rule on a grid of 2,000 vertices; null days fall on the first vertex or go."""
     rnd = random.Random(7)
-    rows = [(i, rnd.choice([-1, 0, 5, 14, 60, 400, 3650, 9000, 20000, rnd.randint(0, 12000)])) for i in range(300)]
-    df = spark.createDataFrame(rows, "k int, d int").withColumn("a", F.lit(7).cast("decimal(23,8)"))
-    fast = bucketing.allocate(df, "d", "a", intervals, "ir").collect()
-    iv2 = bucketing.tenor_grid(fx.grid(spark))
-    slow = bucketing.allocate(df, "d", "a", iv2, "ir", max_broadcast_rows=1).collect()
-    key = lambda r: (r.k, r.bucket, r.value)
-    assert sorted(map(key, fast)) == sorted(map(key, slow))
+    vertices = sorted(rnd.sample(range(1, 90000), 2000))
+    fine = spark.createDataFrame([("ir", v, f"v{v}") for v in vertices], "grid_type string, days int, label string")
+    days = [None, -1, 0, vertices[0], vertices[-1], 89999, 200000] + [rnd.randint(0, 95000) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(days)), "k int, d int").withColumn("a", F.lit(7).cast("decimal(23,8)"))
+    iv = bucketing.tenor_grid(fine)
+    for on_bad in ("first", "null"):
+        got = {}
+        for r in bucketing.allocate(df, "d", "a", iv, "ir", on_bad=on_bad).collect():
+            got.setdefault(r.k, {})[r.bucket] = float(r.value)
+        for k, d in enumerate(days):
+            if d is None and on_bad == "null":
+                assert k not in got
+                continue
+            d = -1 if d is None else d
+            low = max((v for v in vertices if v <= d), default=None)
+            high = min((v for v in vertices if v > d), default=None)
+            if low is None or high is None or low == d:
+                assert got[k] == {f"v{low if low is not None else high}": 7.0}
+            else:
+                share = 7 * (high - d) / (high - low)
+                assert got[k] == pytest.approx({f"v{low}": share, f"v{high}": 7 - share})
+
+
+def test_interval_joins_are_hash_joins(spark, intervals, capsys):
+    df = spark.createDataFrame([(1, 10)], "k int, d int").withColumn("a", F.lit(1).cast("decimal(23,8)"))
+    bucketing.allocate(df, "d", "a", intervals, "ir").explain()
+    bucketing.nearest_tenor(df, "d", intervals).explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and plan.count("HashJoin") + plan.count("SortMergeJoin") >= 2
 
 
 def test_allocate_conserves_amount(spark, intervals):
@@ -241,3 +265,24 @@ def test_route_vol_strict_and_reference_mode(spark):
     # group FX catches every feed; the FX-group SV row is emitted twice; null group / vol group vanish
     assert loose == sorted([("FX", "VegaFX", "FX"), ("FX", "DeltaFx", "FX"), ("FX", "VegaIR", "FX"),
                             ("FX", "VegaIR", "SV"), ("OPT", "VegaIR", "CV")])
+
+
+def test_balanced_fill_keeps_payload_and_rows(spark):
+    """100,000 rows, a third on one key, with payload: rows and values as in the plain form."""
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("k"), F.col("id").alias("pos"),
+        F.when(F.xxhash64("id") % 5 == 0, F.col("id") * 2).alias("v"),
+        F.concat(F.lit("p"), "id").alias("payload"), (F.col("id") % 7).alias("_kept"))
+    plain = fill_nearest(rows, "v", ["k"], ["pos"], out_col="w")
+    balanced = fill_nearest(rows, "v", ["k"], ["pos"], out_col="w", balanced=True, chunks=16)
+    assert balanced.columns == plain.columns
+    assert balanced.count() == 100_000
+    assert balanced.exceptAll(plain).isEmpty() and plain.exceptAll(balanced).isEmpty()
+
+
+def test_surface_keeps_labels_with_equal_days(spark):
+    surface = spark.createDataFrame([("EUR", "14D", 5), ("EUR", "6M", 9), ("EUR", "12M", 4), ("EUR", "1Y", 3)],
+                                    "currency string, tenor string, vol int").withColumn("vol", F.col("vol").cast("decimal(23,8)"))
+    asked = spark.createDataFrame([("EUR", "2W"), ("EUR", "6M"), ("EUR", "2W")], "currency string, tenor string")
+    got = {r.tenor: float(r.vol) for r in complete_surface(asked, surface).collect()}
+    assert got == {"14D": 5.0, "2W": 5.0, "6M": 9.0, "1Y": 3.0}
