@@ -76,10 +76,13 @@ def build_feeds(inp: MarginInputs) -> DataFrame:
     return reshape.union_feeds(*parts)
 
 
-def resolve_products(unified: DataFrame, inp: MarginInputs) -> DataFrame:
-    """J7 -> F1 -> F6 -> J10 / J8 -> U6 -> J11 -> J12 -> F16."""
-    u = joins.attach_product(unified, inp.trade_product)
-    u = filters.in_scope(u)
+def resolve_products(unified: DataFrame, inp: MarginInputs, materialize_mode: str = "table") -> DataFrame:
+    """J7 -> F1 -> F6 -> J10 / J8 -> U6 -> J11 -> J12 -> F16.
+
+    The in-scope rows are stored once: the strategy rows, their dominant product and
+    the plain rows all read them, so the feeds' joins and dedups run once.
+    """
+    u = materialize(filters.in_scope(joins.attach_product(unified, inp.trade_product)), materialize_mode)
     with_s, without_s = filters.split_strategy(u)
     a = products.products_strategy(with_s, inp.products).unionByName(
         products.products_plain(without_s, inp.products))
@@ -128,7 +131,7 @@ def margin_table(inp: MarginInputs, app_id: str = "marginflow", strict_vol: bool
     filled by the jobs that run anyway.
     """
     unified = observe_counts(build_feeds(inp), "unified_feeds", counters)
-    a = materialize(observe_counts(resolve_products(unified, inp), "resolved", counters), materialize_mode)
+    a = materialize(observe_counts(resolve_products(unified, inp, materialize_mode), "resolved", counters), materialize_mode)
     simm, sched = filters.split_model(a)
     simm_out = observe_counts(simm_rows(simm, inp, strict_vol), "simm_rows", counters)
     out = reshape.union_feeds(simm_out, observe_counts(schedule_rows(sched), "schedule_rows", counters))
