@@ -223,22 +223,26 @@ def q_join_trades(spark, d):
     return j.select("trade_id", "line_no", "portfolio", "booked_text", "pay_ccy", "receive_ccy")
 
 
+_REF_SQL = "case when c_custkey % 50 = 0 then '' else 'R'||cast(c_custkey as string) end"
 _SCOPE_SQL = f"""cpty_scope as (
-  select 'C'||cast(c_custkey as string) as counterparty, 'R'||cast(c_custkey as string) as ref_code,
-         '0182' as entity, 'R'||cast(c_custkey as string) as short_name, 'CT'||cast(c_custkey as string) as contract,
-         case when date '1996-01-01' + cast(c_custkey%900 as int) >= date '{CPTY_FLOOR}'
-              then date '1996-01-01' + cast(c_custkey%900 as int) else date '{CPTY_FLOOR}' end as filter_date
-  from customer where c_custkey % 6 = 0)"""
+  select 'C'||cast(c_custkey as string) as counterparty, code.ref_code, '0182' as entity, code.ref_code as short_name,
+         code.contract, greatest(code.effective, date '{CPTY_FLOOR}') as filter_date
+  from customer join (
+    select {_REF_SQL} as ref_code, min('CT'||cast(c_custkey as string)) as contract,
+           arg_min(date '1996-01-01' + cast(c_custkey%900 as int), 'CT'||cast(c_custkey as string)) as effective
+    from customer where c_custkey % 6 = 0 group by 1) code on {_REF_SQL} = code.ref_code)"""
 
 
 def _cpty_scope(spark, d):
     return counterparty_scope(fx.cpty_xml(spark, d), fx.perimeter(spark, d), CPTY_FLOOR)
 
 
-@query("extract_roles", """
-select 'C'||cast(c_custkey as string) as identifier, 'R'||cast(c_custkey as string) as ref_code, 'MUREXID' as origin from customer
+@query("extract_roles", f"""
+select 'C'||cast(c_custkey as string) as identifier, {_REF_SQL} as ref_code, 'MUREXID' as origin from customer
 union all
-select 'K'||cast(c_custkey as string), 'R'||cast(c_custkey as string), 'CALYPSOID' from customer where c_custkey % 3 = 0""")
+select 'C'||cast(c_custkey as string), {_REF_SQL}, 'CALYPSOID' from customer where c_custkey % 11 = 0
+union all
+select 'K'||cast(c_custkey as string), {_REF_SQL}, 'CALYPSOID' from customer where c_custkey % 3 = 0""")
 def q_extract_roles(spark, d):
     return extract_roles(fx.cpty_xml(spark, d))
 
@@ -314,7 +318,7 @@ def q_scan(spark, d):
 
 
 @query("load_xml", """
-select c_custkey from customer where c_custkey % 3 = 0""")
+select c_custkey from customer where c_custkey % 3 = 0 or c_custkey % 11 = 0""")
 def q_load_xml(spark, d):
     from ..sources.scan import load_xml
     return load_xml(fx.cpty_xml(spark, d), "doc", "CALYPSOID").select("c_custkey")

@@ -26,7 +26,7 @@ FIXTURE_SQL = {
         """select 'T'||cast(o_orderkey as string) as trade_id, 'PF'||cast(o_custkey%20 as string) as portfolio, o_orderdate as trade_date, cast(case when o_orderkey%11=0 then 0 else o_custkey%5000-2500 end as decimal(23,8)) as market_value from orders"""
     ),
     "cpty_xml": (
-        """select c_custkey, '<GLOBAL><OPERATIVES><OPERATIVE><RDR_Code_Operative>R'||cast(c_custkey as string)||'</RDR_Code_Operative><ROLES>' ||'<ROLE_IDENTIFIER><Role_Identifier>C'||cast(c_custkey as string)||'</Role_Identifier><Role_Identifier_Context>MUREXID</Role_Identifier_Context></ROLE_IDENTIFIER>' ||case when c_custkey%3=0 then '<ROLE_IDENTIFIER><Role_Identifier>K'||cast(c_custkey as string)||'</Role_Identifier><Role_Identifier_Context>CALYPSOID</Role_Identifier_Context></ROLE_IDENTIFIER>' else '' end ||'</ROLES></OPERATIVE></OPERATIVES></GLOBAL>' as doc from customer"""
+        """select c_custkey, '<GLOBAL><OPERATIVES><OPERATIVE>'||case when c_custkey%50=0 then '' else '<RDR_Code_Operative>R'||cast(c_custkey as string)||'</RDR_Code_Operative>' end||'<ROLES>'||case when c_custkey%7=0 then '<GROUP>' else '' end||'<ROLE_IDENTIFIER><Role_Identifier>C'||cast(c_custkey as string)||'</Role_Identifier><Role_Identifier_Context>MUREXID</Role_Identifier_Context>'||case when c_custkey%11=0 then '<Role_Identifier_Context>CALYPSOID</Role_Identifier_Context>' else '' end||'</ROLE_IDENTIFIER>'||case when c_custkey%3=0 then '<ROLE_IDENTIFIER><Role_Identifier>K'||cast(c_custkey as string)||'</Role_Identifier><Role_Identifier_Context>CALYPSOID</Role_Identifier_Context></ROLE_IDENTIFIER>' else '' end||case when c_custkey%7=0 then '</GROUP>' else '' end||'</ROLES></OPERATIVE></OPERATIVES></GLOBAL>' as doc from customer"""
     ),
     "perimeter": (
         """select 'K'||cast(c_custkey as string) as short_name, '0182' as entity, 'CT'||cast(c_custkey as string) as contract, date '1996-01-01' + cast(c_custkey%900 as int) as effective from customer where c_custkey%6=0"""

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scan import read_table
@@ -168,15 +168,24 @@ def cpty_xml(spark: SparkSession, d: str) -> DataFrame:
     c = read_table(spark, d, "customer")
     k = _s("c_custkey")
 
-    def role(prefix, ctx):
+    def role(prefix, *contexts):
+        tags = "".join(f"<Role_Identifier_Context>{c}</Role_Identifier_Context>" for c in contexts)
         return F.concat(F.lit("<ROLE_IDENTIFIER><Role_Identifier>" + prefix), k,
-                        F.lit(f"</Role_Identifier><Role_Identifier_Context>{ctx}</Role_Identifier_Context></ROLE_IDENTIFIER>"))
+                        F.lit(f"</Role_Identifier>{tags}</ROLE_IDENTIFIER>"))
 
+    def when(each, then, otherwise=""):
+        c = [x if isinstance(x, Column) else F.lit(x) for x in (then, otherwise)]
+        return F.when(F.col("c_custkey") % each == 0, c[0]).otherwise(c[1])
+
+    # every 50th operative lacks its code, every 7th has its roles one level deeper,
+    # every 11th identifier has two contexts
     doc = F.concat(
-        F.lit("<GLOBAL><OPERATIVES><OPERATIVE><RDR_Code_Operative>R"), k,
-        F.lit("</RDR_Code_Operative><ROLES>"),
-        role("C", "MUREXID"),
-        F.when(F.col("c_custkey") % 3 == 0, role("K", "CALYPSOID")).otherwise(F.lit("")),
+        F.lit("<GLOBAL><OPERATIVES><OPERATIVE>"),
+        when(50, "", F.concat(F.lit("<RDR_Code_Operative>R"), k, F.lit("</RDR_Code_Operative>"))),
+        F.lit("<ROLES>"), when(7, "<GROUP>"),
+        when(11, role("C", "MUREXID", "CALYPSOID"), role("C", "MUREXID")),
+        when(3, role("K", "CALYPSOID")),
+        when(7, "</GROUP>"),
         F.lit("</ROLES></OPERATIVE></OPERATIVES></GLOBAL>"),
     )
     return c.select("c_custkey", doc.alias("doc"))

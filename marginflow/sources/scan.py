@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +43,17 @@ def load_day(df: DataFrame, day: dt.date, keys=PARTITION_KEYS) -> DataFrame:
 def load_latest(df: DataFrame, keys=PARTITION_KEYS) -> DataFrame:
     """S3: rows of the newest ``(year, month, day)`` partition.
 
-    When the frame has no partition triple the table is returned whole.
-    The newest key is one aggregate row (partial aggregation on every
-    executor); the filter is a left-semi join against that single row, so it
-    is broadcast and no data moves.
+    When the frame has no partition triple the table is returned whole. The
+    newest key is found first, from the key columns alone (for a partitioned
+    table Spark answers from partition values); the filter then is three
+    literals, which prune partitions. An empty table stays empty.
     """
     if not all(k in df.columns for k in keys):
         return df
-    newest = df.agg(F.max(F.struct(*[F.col(k) for k in keys])).alias("_newest")) \
-        .select(*[F.col(f"_newest.{k}").alias(f"_newest_{k}") for k in keys])
-    cond = [F.col(k) == F.col(f"_newest_{k}") for k in keys]
-    return df.join(F.broadcast(newest), cond, "left_semi")
+    newest = df.select(*keys).agg(F.max(F.struct(*keys)).alias("newest")).first()["newest"]
+    if newest is None:
+        return df.limit(0)
+    return df.where(reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(newest[k])) for k in keys]))
 
 
 def load_xml(df: DataFrame, xml_col: str = "doc", must_contain: str = "<GLOBAL>") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marginflow.operators import arrival, bucketing, dedup, joins, products, reshape
 from marginflow.operators.fill import fill_nearest
 from marginflow.operators.volatility import complete_surface
-from marginflow.operators.xml import extract_roles
+from marginflow.operators.xml import extract_roles, recover_aliases
 from marginflow.sources import fixtures as fx
 
 
@@ -189,10 +189,28 @@ def test_extract_roles_no_match_and_any_depth(spark):
          "<Role_Identifier>C2</Role_Identifier><Role_Identifier_Context>MUREXID</Role_Identifier_Context>"
          "</ROLE_IDENTIFIER></B></OPERATIVE></A></GLOBAL>",)], "doc string")
     assert extract_roles(docs.limit(1)).count() == 0
-    deep = extract_roles(docs, any_depth=True).collect()
+    deep = extract_roles(docs).collect()
     assert [(r.identifier, r.ref_code, r.origin) for r in deep] == [("C2", "R2", "MUREXID")]
 
 
+def test_extract_roles_same_either_way_at_declared_depth(spark):
+    role = ("<ROLE_IDENTIFIER><Role_Identifier>C1</Role_Identifier><Role_Identifier_Context>MUREXID</Role_Identifier_Context>"
+            "<Role_Identifier_Context>CALYPSOID</Role_Identifier_Context></ROLE_IDENTIFIER>")
+    docs = spark.createDataFrame([(f"<GLOBAL><OPERATIVES><OPERATIVE><RDR_Code_Operative>R1</RDR_Code_Operative><ROLES>{role}</ROLES>"
+                                   f"</OPERATIVE><OPERATIVE><ROLES>{role}</ROLES></OPERATIVE></OPERATIVES></GLOBAL>",)], "doc string")
+    rows = [sorted(map(tuple, extract_roles(docs, any_depth=x).collect())) for x in (True, False)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4 and {r[1] for r in rows[0]} == {"R1", ""}
+
+
+def test_aliases_of_shared_codes_stay_linear(spark):
+    """300 roles of one code, all in scope: 300 rows before the dedup, not 90,000."""
+    roles = spark.createDataFrame([(f"C{i}", None, "MUREXID") for i in range(300)], "identifier string, ref_code string, origin string")
+    scope = roles.select("ref_code", F.lit("0182").alias("entity"), F.col("identifier").alias("contract"),
+                         F.lit("1996-01-01").alias("effective"))
+    got = recover_aliases(roles, scope).collect()
+    assert len(got) == 300 and {r.contract for r in got} == {"C0"}
+
+
 def test_null_safe_trade_join(spark):
     s = spark.createDataFrame([(None, "P", 1)], "trade_id string, portfolio string, v int")
     t = spark.createDataFrame([(None, "P", "01/01/2020", "", "1,0", "0,0", "EUR", "USD")],

@@ -38,6 +38,12 @@ def test_load_latest_and_day(spark, scratch):
     newest = o.agg(F.max(F.struct("year", "month", "day")).alias("m")).first().m
     got = load_latest(t).select("year", "month", "day").distinct().collect()
     assert [tuple(r) for r in got] == [tuple(newest)]
+    import io
+    from contextlib import redirect_stdout
+    with redirect_stdout(io.StringIO()) as plan:
+        load_latest(t).explain()
+    assert "PartitionFilters" in plan.getvalue() and "NestedLoop" not in plan.getvalue()
+    assert load_latest(t.limit(0)).isEmpty()
     assert load_latest(t.drop("year")).count() == t.count()   # no partition triple: whole table
     assert load_day(t, dt.date(1900, 1, 1)).count() == 0
 
