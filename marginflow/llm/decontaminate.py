@@ -64,7 +64,7 @@ def codes(x: np.ndarray) -> np.ndarray:
 
 
 def _slot(c: np.ndarray) -> np.ndarray:
-    return (c * U64(0x9E3779B97F4A7C15)) >> U64(46)
+    return (c * U64(0x9E3779B97F4A7C15)) >> U64(44)
 
 
 class Segments:
@@ -93,10 +93,11 @@ class Segments:
         grams = [codes(t) for t in self.text]
         code = np.concatenate(grams or [np.zeros(0, U64)])
         order = np.argsort(code, kind="stable")
-        self.code = code[order]
+        self.code, first = np.unique(code[order], return_index=True)
+        self.first = np.concatenate([first, [len(code)]])  # of each code's places
         self.segment = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
         self.at = np.concatenate([np.arange(len(g)) for g in grams] or [np.zeros(0, np.int64)])[order]
-        self.may = np.zeros(1 << 18, bool)
+        self.may = np.zeros(1 << 20, bool)
         self.may[_slot(self.code)] = True
 
     def bands(self, x: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]]:
@@ -109,10 +110,9 @@ class Segments:
         ends = ends[(ends >= 0) & (ends < len(hit)) & (ends >= bounds[:-1, None])]
         hit[ends] = False  # q-grams across two rows
         place = np.flatnonzero(hit)
-        low = np.searchsorted(self.code, c[place], "left")
-        high = np.searchsorted(self.code, c[place], "right")
-        real = high > low
-        place, low, high = place[real], low[real], high[real]
+        known = np.minimum(np.searchsorted(self.code, c[place]), len(self.code) - 1)
+        real = self.code[known] == c[place]
+        place, known = place[real], known[real]
         if not len(place):
             return []
         # stretches that could hold a segment: enough places from one on
@@ -126,26 +126,36 @@ class Segments:
         np.add.at(cover, first, 1)
         np.add.at(cover, last, -1)
         stay = np.cumsum(cover[:-1]) > 0
-        place, low, high = place[stay], low[stay], high[stay]
-        times = high - low
+        place, known = place[stay], known[stay]
+        low = self.first[known]
+        times = self.first[known + 1] - low
         which = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         place = np.repeat(place, times)
         row = np.searchsorted(bounds, place, "right") - 1
         seg, at = self.segment[which], self.at[which]
+        # a row and segment with too few common q-grams on any diagonals need no bands
+        n_segments = len(self.text)
+        pair = row * n_segments + seg
+        rich = np.bincount(pair, minlength=(len(bounds) - 1) * n_segments)[pair] >= self.least[seg]
+        if not rich.any():
+            return []
+        place, row, seg, at, pair = place[rich], row[rich], seg[rich], at[rich], pair[rich]
         diagonal = place - bounds[row] - at
         width = self.width[seg]
         out = []
         for shift in (0, 1):
             band = (diagonal + shift * (width // 2)) // width
-            order = np.lexsort((at, band, seg, row))
-            r, s, b, a = row[order], seg[order], band[order], at[order]
-            new = np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] != s[:-1]) | (b[1:] != b[:-1])])
-            fresh = new | np.concatenate([[True], a[1:] != a[:-1]])
-            heads = np.flatnonzero(new)
-            count = np.add.reduceat(fresh.astype(np.int64), heads)
-            for h in heads[count >= self.least[s[heads]]]:
+            low_band, span = int(band.min()), int(band.max() - band.min()) + 1
+            key = np.sort((pair * span + (band - low_band)) * SEGMENT + at)
+            group = key[np.concatenate([[True], key[1:] != key[:-1]])] // SEGMENT
+            heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            count = np.diff(np.concatenate([heads, [len(group)]]))
+            group = group[heads]
+            p, b = np.divmod(group, span)
+            r, s = np.divmod(p, n_segments)
+            for h in np.flatnonzero(count >= self.least[s]):
                 w = int(self.width[s[h]])
-                out.append((int(r[h]), int(s[h]), int(b[h]) * w - shift * (w // 2)))
+                out.append((int(r[h]), int(s[h]), (int(b[h]) + low_band) * w - shift * (w // 2)))
         return out
 
     def align(self, seg: int, row: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
