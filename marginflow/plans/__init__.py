@@ -4,7 +4,7 @@
 def all_queries():
     """Import every query module and return (queries, oracle_sql)."""
     from . import queries_basic  # noqa: F401
-    for mod in ("queries_arrival", "queries_bucketing", "queries_pipeline"):
+    for mod in ("queries_arrival", "queries_bucketing", "queries_pipeline", "queries_run"):
         try:
             __import__(f"{__name__}.{mod}")
         except ModuleNotFoundError as e:
