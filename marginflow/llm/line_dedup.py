@@ -1,13 +1,16 @@
 """Boilerplate lines: removed where they spread over many distinct sites.
 
 Per line (trimmed, lower case, hashed) two HyperLogLog sketches are merged by
-aggregation: of the sites that show it, and of its contexts. A line's context
-in a document is the least hash among the document's other lines: it differs
-between unrelated documents and agrees between copies, so whole documents that
-were copied to many sites do not turn their lines into boilerplate (finding
-copies is another operator's work). A line is boilerplate if it has
-``min_sites`` distinct sites or more, and distinct contexts in ``min_fresh`` or more of the
-documents that give it one.
+aggregation: of the sites that show it, and of the texts that hold it. A line
+is boilerplate if it has ``min_sites`` distinct sites or more and stands in as
+many distinct texts. Equal texts (by their lines) are one text however many
+sites they were copied to, so whole documents that were copied do not turn
+their lines into boilerplate (finding copies is another operator's work); nor
+can copies, repeats within a page or other boilerplate beside a line save it.
+
+``min_fresh`` gives the narrower rule of the registered query's SQL: a line's
+context in a document is the least hash among the document's other lines, and
+distinct contexts must make up that share of the line's occurrences.
 
 Lines whose estimates lie near a threshold get exact distinct counts first.
 """
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 MIN_SITES = 5
-MIN_FRESH = 0.75
+MIN_FRESH = 0.75     # of the registered query's SQL
 LG_K = 10            # 2**10 registers: a standard error of about 2.6 %
 NEAR = 0.12          # estimates this close to a threshold (relatively) are counted exactly
 BROADCAST_ROWS = 200_000  # drop lists that may be broadcast; more of them are joined by shuffle
@@ -46,34 +49,47 @@ def _lines(docs: DataFrame, site: str) -> DataFrame:
             .drop("least"))
 
 
+def _holders(docs: DataFrame, site: str) -> DataFrame:
+    """One row per document and distinct line that is not blank: key, site, context (hash of all the document's lines)."""
+    keys = F.array_compact(F.transform(F.split("text", "\n"), line_key))
+    return (docs.select(F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), keys.alias("keys"))
+            .select("site", F.xxhash64("keys").alias("context"), F.explode(F.array_distinct("keys")).alias("key")))
+
+
 def boilerplate_keys(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
-                     min_fresh: float = MIN_FRESH) -> DataFrame:
-    """The keys of boilerplate lines, with exact counts or estimates: key, sites, contexts, seen."""
-    lines = _lines(docs, site).select("key", "site", "context")
+                     min_fresh: float | None = None) -> DataFrame:
+    """The keys of boilerplate lines, with exact counts or estimates: key, sites, contexts, seen.
+
+    contexts are distinct texts and seen documents; with ``min_fresh``, as the module tells, distinct
+    contexts and the occurrences that have one.
+    """
+    if min_fresh is None:
+        lines, enough = _holders(docs, site), F.lit(min_sites)
+    else:
+        lines, enough = _lines(docs, site).select("key", "site", "context"), F.col("seen") * min_fresh
     spread = materialize(lines.groupBy("key").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"),
         F.hll_sketch_estimate(F.hll_sketch_agg("context", LG_K)).alias("contexts"),
         F.count("context").alias("seen"))
         .where((F.col("sites") >= min_sites * (1 - NEAR) - 1)
-               & (F.col("contexts") >= F.col("seen") * min_fresh * (1 - NEAR) - 1) & (F.col("seen") > 0)))
+               & (F.col("contexts") >= enough * (1 - NEAR) - 1) & (F.col("seen") > 0)))
     near = ((F.abs(F.col("sites") - min_sites) <= min_sites * NEAR + 1)
-            | (F.abs(F.col("contexts") - F.col("seen") * min_fresh) <= F.col("seen") * min_fresh * NEAR + 1))
+            | (F.abs(F.col("contexts") - enough) <= enough * NEAR + 1))
     exact = (lines.join(spread.where(near).select("key"), "key", "left_semi").groupBy("key")
              .agg(F.countDistinct("site").alias("sites"), F.countDistinct("context").alias("contexts"),
                   F.count("context").alias("seen")))
     return materialize(spread.where(~near).unionByName(exact)
-                       .where((F.col("sites") >= min_sites) & (F.col("seen") > 0)
-                              & (F.col("contexts") >= F.col("seen") * min_fresh)))
+                       .where((F.col("sites") >= min_sites) & (F.col("seen") > 0) & (F.col("contexts") >= enough)))
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
-                       min_fresh: float = MIN_FRESH) -> DataFrame:
+                       min_fresh: float | None = None) -> DataFrame:
     """``docs`` (all columns) without boilerplate lines in ``text``, and n_lines, n_removed (replacing such columns).
 
     n_lines counts the lines before. Null and empty texts stay as they are and
     have 0 lines; blank lines never are boilerplate and stay. A text whose
     lines all go becomes empty. A null site counts as one site. Repeated rows
-    count as one site and one context, and each come back; an empty table gives no rows.
+    count as one site and one text, and each come back; an empty table gives no rows.
     """
     rows = docs.withColumn("text", F.col("text").cast("string"))
     texts = rows.select("doc_id", "text", site).where("text <> ''")

@@ -124,7 +124,8 @@ UNION ALL SELECT doc_id, 0, 0, text FROM documents WHERE text IS NULL OR text =
 @query("op8_line_dedup", _OP8_SQL)
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return line_dedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
+    # The SQL above states the rule with min_fresh; the pipeline takes the wider one.
+    return line_dedup.remove_boilerplate(docs, min_fresh=line_dedup.MIN_FRESH).select("doc_id", "n_lines", "n_removed", "text")
 
 
 @query("op6_decontaminate")
