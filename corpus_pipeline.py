@@ -15,6 +15,7 @@ from marginflow.session import materialize
 
 TOXIC_FROM = 0.7
 SHINGLE_WORDS, LINK_PERCENT = 5, 80
+MIX_BUDGET = 0.3  # share of the tokens that the mixture draws
 BROADCAST_IDS = 1_000_000  # ids that may be broadcast (8 MB); more are joined by shuffle
 
 
@@ -51,8 +52,8 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents drawn by calibrated probabilities, with topic, n_tokens, weight and probability."""
-    return mixing.weigh(docs, mixing.fit_mixture(docs)).where("selected").drop("selected")
+    """The documents drawn by probabilities calibrated to ``MIX_BUDGET``, with topic, n_tokens, weight and probability."""
+    return mixing.weigh(docs, mixing.fit_mixture(docs, budget=MIX_BUDGET)).where("selected").drop("selected")
 
 
 STAGES = [

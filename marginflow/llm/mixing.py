@@ -6,6 +6,8 @@ tokens of every source, language and topic make up their target share; each
 step is one pre-aggregated sum per margin over the cells. A document's weight
 is its cell's factor, and it is drawn with a probability in proportion to
 that, by a hash of its id: draws are independent and the same in every run.
+Given a budget of tokens, cells that would need more than all their rows are
+taken whole, and the others' probabilities are solved again to meet it.
 
 DataFrame functions alone: texts are read by built-in functions, and nothing
 but one row of totals comes to the driver.
@@ -81,21 +83,48 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return fitted
 
 
+def budget_rate(cells: DataFrame, budget: float) -> float:
+    """The rate at which min(1, factor * rate) of each cell's tokens add up to ``budget`` tokens.
+
+    Solved anew without the cells that are full until no more fill up; each step is one row of sums over the
+    cells. A budget of all tokens or more fills every cell.
+    """
+    rate, full = 0.0, -1
+    while True:
+        over = F.col("factor") * F.lit(rate) >= 1
+        taken, free, n = cells.where("m_tokens > 0").agg(
+            F.sum(F.when(over, F.col("m_tokens")).otherwise(0.0)),
+            F.sum(F.when(over, 0.0).otherwise(F.col("m_tokens") * F.col("factor"))),
+            F.count(F.when(over, 1))).first()
+        if not free or n == full:
+            return rate
+        rate, full = max(rate, (budget - taken) / free), n
+
+
 def fit_mixture(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
-                share: float = 1.0) -> DataFrame:
-    """The raked cells of ``docs``: m_source, m_lang, m_topic, m_tokens, factor, probability.
+                share: float = 1.0, budget: float | None = None) -> DataFrame:
+    """The raked cells of ``docs``: m_source, m_lang, m_topic, m_tokens, factor, probability, wanted, shortfall.
+
+    Probabilities are min(1, factor * rate). With ``budget``, the share of all tokens to draw, the rate is
+    solved so that the expected tokens are that share whatever the rarest cell's factor (``budget_rate``).
+    Without, the rate is ``share`` or, if less, what gives the largest factor of a cell with tokens probability 1,
+    so that expected shares are the targets and none is cut off; one tiny margin then shrinks the whole sample.
 
-    Probabilities are factor * rate; the rate is ``share`` or, if less, what
-    gives the largest factor of a cell with tokens probability 1, so that expected shares
-    are the targets and none is cut off.
+    wanted is factor * rate, the times the targets ask for each row; shortfall the tokens that a cell
+    lacks where this is above 1.
     """
     keys = [f"m_{d}" for d in DIMS]
     cells = materialize(with_margins(docs, topic).groupBy(*keys).agg(F.sum("m_tokens").alias("m_tokens")))
     wanted = targets or {k: materialize(tempered_targets(cells, k)) for k in keys}
     fitted = rake(cells, wanted)
-    most = fitted.where("m_tokens > 0").agg(F.max("factor")).first()[0]
-    rate = min(share, 1.0 / most) if most else share
-    return fitted.withColumn("probability", F.least(F.lit(1.0), F.col("factor") * F.lit(rate)))
+    if budget is not None:
+        rate = budget_rate(fitted, budget * (cells.agg(F.sum("m_tokens")).first()[0] or 0.0))
+    else:
+        most = fitted.where("m_tokens > 0").agg(F.max("factor")).first()[0]
+        rate = min(share, 1.0 / most) if most else share
+    wants = F.col("factor") * F.lit(rate)
+    return fitted.withColumns({"probability": F.least(F.lit(1.0), wants), "wanted": wants,
+                               "shortfall": F.col("m_tokens") * F.greatest(F.lit(0.0), wants - 1.0)})
 
 
 def draw(doc_id: Column, seed: int = SEED) -> Column:

@@ -53,3 +53,35 @@ def test_sql_equals_spark_on_odd_rows(make, spark):
     con = duckdb.connect()
     con.register("documents", docs.toPandas())
     assert frame_key(got) == frame_key(con.execute(M.oracle_sql()).df())
+
+
+def expected(cells):
+    return (cells.m_tokens * cells.probability).sum() / cells.m_tokens.sum()
+
+
+@pytest.mark.parametrize("budget", [0.1, 0.5, 0.9, 1.0])
+def test_budget_is_met(spark, sf, budget):
+    cells = M.fit_mixture(spark.read.parquet(f"{sf}/documents.parquet"), budget=budget).toPandas()
+    assert expected(cells) == pytest.approx(budget)
+    used = cells[cells.m_tokens > 0]
+    open_, full = used[used.wanted < 1], used[used.wanted >= 1]
+    assert (full.probability == 1).all() and (open_.probability == open_.wanted).all()
+    ratio = used.wanted / used.factor
+    assert ratio.max() == pytest.approx(ratio.min())
+    assert (used.shortfall - used.m_tokens * (used.wanted - used.probability)).abs().max() < 1e-6
+
+
+def test_one_odd_document_does_not_shrink_the_rest(make):
+    plain = [(i, f"some words of document {i}", f"l{i % 2}", f"s{i % 5}", 9) for i in range(3000)]
+    odd = (-1, "other words", "new language", "new source", 9)
+    share = {}
+    for name, rows in (("plain", plain), ("odd", [*plain, odd])):
+        got = [r.selected for r in M.weigh(make(rows), M.fit_mixture(make(rows), budget=0.3)).where("doc_id >= 0").collect()]
+        share[name] = sum(got) / len(got)
+    assert share["plain"] == pytest.approx(0.3, abs=0.03) and share["odd"] == pytest.approx(share["plain"], abs=0.01)
+    cells = M.fit_mixture(make([*plain, odd]), budget=0.3).where("m_source = 'new source'").collect()
+    assert [(c.probability, c.shortfall > 0) for c in cells] == [(1.0, True)]
+
+
+def test_budget_of_an_empty_table(make):
+    assert M.weigh(make([]), M.fit_mixture(make([]), budget=0.3)).count() == 0

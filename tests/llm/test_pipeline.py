@@ -68,3 +68,9 @@ def test_extra_columns_stay(spark, sf, make, name, stage):
     docs = make(ODD).withColumn("key", P.F.lit(1)).withColumn("score", P.F.lit("s")).withColumn("node", P.F.lit(2.0))
     out = stage(spark, docs, sf)
     assert out.columns[:len(docs.columns)] == docs.columns and out.count() >= 0
+
+
+def test_one_odd_document_does_not_shrink_the_mixture(spark, sf, make):
+    plain = [(i, f"some words of document {i}", "en", f"s{i % 5}", 9) for i in range(3000)]
+    got = P.mix_sources(spark, make([*plain, (-1, "other words", "new language", "new source", 9)]), sf).collect()
+    assert -1 in {r.doc_id for r in got} and len(got) == pytest.approx(3000 * P.MIX_BUDGET, rel=0.1)
