@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, fingerprint, license_scan, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, decontaminate, fingerprint, html_extract, license_scan, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -149,3 +149,8 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_scan")
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op11_html_extract")
+def op11_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
