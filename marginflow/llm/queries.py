@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, fingerprint, html_extract, license_scan, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, conv_repair, decontaminate, fingerprint, html_extract, license_scan, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +154,80 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_html_extract")
 def op11_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def _op12_sql() -> str:
+    """The backward programme with whole scripts: per state the least (cost, audit, rows), from the last row to the first."""
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    fits = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+
+    def moved(s, cost, letter, line):
+        return f"{{'c': {s}.c + {cost}, 'a': '{letter}' || {s}.a, 'o': {line} || {s}.o}}"
+
+    def best(s):
+        keep = " ".join(f"WHEN kind = '{x}' THEN {moved(f'p.s{t}', 'extra', 'K', 'line')}" for (f, x), t in fits.items() if f == s)
+        role = "user" if after[s] == 2 else "assistant"
+        new = f"chr(10) || '{role}:' || text"
+        return (f"list_min([{moved(f'p.s{s}', 4, 'D', repr(''))}, CASE WHEN must THEN NULL {keep} END, "
+                f"CASE WHEN NOT must THEN {moved(f'p.s{after[s]}', '3 + extra', 'R', new)} END])")
+
+    def inserted(s, of):
+        role = "user" if after[s] == 2 else "assistant"
+        return moved(of, 3, "I", f"(chr(10) || '{role}:')")
+
+    closed = lambda s, x, y: f"list_min([{x}{s}, {inserted(s, f'{y}{after[s]}')}])"
+    every = range(4)
+    return f"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    flatten(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])) AS bits
+  FROM conversations),
+summed AS (
+  SELECT *, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], bits),
+    lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) % 20 AS kind FROM coded),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM summed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid FROM damaged),
+told AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+      WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS prior FROM placed),
+steps AS (
+  SELECT conv_id, n, text, left(role, 1) AS kind, coalesce(fault IN ('blank', 'duplicate'), FALSE) AS must,
+    CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra, chr(10) || role || ':' || text AS line FROM told),
+walk AS (
+  SELECT conv_id, CAST(max(n) + 1 AS BIGINT) AS n, {{'c': 0, 'a': '', 'o': ''}} AS s0,
+    {{'c': 6, 'a': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s1,
+    {{'c': 3, 'a': 'I', 'o': chr(10) || 'assistant:'}} AS s2, {{'c': 0, 'a': '', 'o': ''}} AS s3
+  FROM steps GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, n, {", ".join(closed(s, "t", "u") + f" AS s{s}" for s in every)}
+  FROM (SELECT *, {", ".join(closed(s, "t", "t") + f" AS u{s}" for s in every)}
+    FROM (SELECT x.conv_id, x.n, {", ".join(best(s) + f" AS t{s}" for s in every)}
+      FROM walk p JOIN steps x ON x.conv_id IS NOT DISTINCT FROM p.conv_id AND x.n = p.n - 1))),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE n > 1 AND left(prior, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM told GROUP BY conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(coalesce(w.s0.c, 0) AS BIGINT) AS cost,
+  coalesce(w.s0.a, '') AS audit, sha256(coalesce(substr(w.s0.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.n = 1
+"""
+
+
+@query("op12_conv_repair", _op12_sql())
+def op12_conv_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conv_repair.report(conv_repair.damage(given), given)

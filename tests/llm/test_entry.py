@@ -14,7 +14,7 @@ SQL = [k for k in entry.oracle_sql() if k.startswith("op")]
 
 def test_one_query_for_each_operator():
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 12))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 13))
     assert "pipeline" in entry.queries()
 
 
