@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, conv_repair, decontaminate, fingerprint, html_extract, license_scan, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
+from . import chat_format, conv_repair, decontaminate, fingerprint, hard_negatives, html_extract, license_scan, line_dedup, mixing, near_dedup, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -231,3 +231,30 @@ LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.n = 1
 def op12_conv_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conv_repair.report(conv_repair.damage(given), given)
+
+
+_OP13_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query("op13_hard_negatives", _OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), "vec_id % 50 = 0")

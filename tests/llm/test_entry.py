@@ -14,14 +14,14 @@ SQL = [k for k in entry.oracle_sql() if k.startswith("op")]
 
 def test_one_query_for_each_operator():
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 13))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", SQL)
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "benchmark", "labels"):
+    for t in ("documents", "conversations", "benchmark", "labels", "embeddings", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     assert frame_key(entry.queries()[name](spark, SF_SMALL).toPandas()) == frame_key(con.execute(entry.oracle_sql()[name]).df())
 
