@@ -33,6 +33,7 @@ Q = 8
 SEGMENT = 96
 EDIT_RATE = 0.1
 BLOCK_BYTES = 2 << 20
+PIECE = 1 << 20    # common q-grams (of a text's place and a segment) held at once
 
 _PLAIN = np.full(256, 32, np.uint8)
 _PLAIN[48:58] = np.arange(48, 58)
@@ -127,19 +128,41 @@ class Segments:
         np.add.at(cover, last, -1)
         stay = np.cumsum(cover[:-1]) > 0
         place, known = place[stay], known[stay]
-        low = self.first[known]
-        times = self.first[known + 1] - low
-        which = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        place = np.repeat(place, times)
-        row = np.searchsorted(bounds, place, "right") - 1
-        seg, at = self.segment[which], self.at[which]
-        # a row and segment with too few common q-grams on any diagonals need no bands
         n_segments = len(self.text)
-        pair = row * n_segments + seg
-        rich = np.bincount(pair, minlength=(len(bounds) - 1) * n_segments)[pair] >= self.least[seg]
-        if not rich.any():
+        row_of = np.searchsorted(bounds, place, "right") - 1
+        times = self.first[known + 1] - self.first[known]
+        if times.sum() > PIECE and len(bounds) > 2:  # halves of the rows, one after the other
+            half = int(row_of[np.searchsorted(np.cumsum(times), times.sum() // 2)])
+            half = min(max(half, 1), len(bounds) - 2)
+            cut = bounds[half]
+            return (self.bands(x[:cut], bounds[:half + 1])
+                    + [(r + half, s, d) for r, s, d in self.bands(x[cut:], bounds[half:] - cut)])
+        # of one long row, q-grams that many segments share meet them piece by piece
+        before = np.cumsum(times) - times
+        cuts = np.flatnonzero(np.diff(before // PIECE, prepend=-1))
+        pieces = [slice(a, b) for a, b in zip(cuts, np.append(cuts[1:], len(place)))]
+
+        def met(piece: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """place, place in the segment, and row and segment as one number, of each common q-gram."""
+            t, low = times[piece], self.first[known[piece]]
+            which = np.repeat(low - np.cumsum(t) + t, t) + np.arange(t.sum())
+            return np.repeat(place[piece], t), self.at[which], np.repeat(row_of[piece], t) * n_segments + self.segment[which]
+
+        # a row and segment with too few common q-grams on any diagonals need no bands
+        counted = [np.unique(met(p)[2], return_counts=True) for p in pieces]
+        pair, which = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
+        count = np.bincount(which, np.concatenate([c[1] for c in counted]))
+        rich = pair[count >= self.least[pair % n_segments]]
+        if not len(rich):
             return []
-        place, row, seg, at, pair = place[rich], row[rich], seg[rich], at[rich], pair[rich]
+
+        def kept(piece: slice) -> tuple[np.ndarray, ...]:
+            found = met(piece)
+            at = np.minimum(np.searchsorted(rich, found[2]), len(rich) - 1)
+            return tuple(x[rich[at] == found[2]] for x in found)
+
+        place, at, pair = (np.concatenate(x) for x in zip(*map(kept, pieces)))
+        row, seg = np.divmod(pair, n_segments)
         diagonal = place - bounds[row] - at
         width = self.width[seg]
         out = []
@@ -258,7 +281,7 @@ def _cleaner(items: list[tuple[int, str]]):
             clean = np.ones(batch.num_rows, bool)
             for lo, hi in blocks(offsets):
                 clean[[lo + r for r, *_ in segments.search(data, offsets[lo:hi + 1])]] = False
-            yield batch.filter(pa.array(clean))
+                yield batch.slice(lo, hi - lo).filter(pa.array(clean[lo:hi]))
     return run
 
 

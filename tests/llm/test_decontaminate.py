@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -92,3 +93,28 @@ def test_query_finds_whole_items(spark, sf):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     want = {(d, i) for d, t in docs.items() for i, b in items.items() if b in t}
     assert {(r.doc_id, r.item_id) for r in QUERIES["op6_decontaminate"](spark, sf).collect()} >= want and want
+
+
+def test_many_short_rows_in_one_block_take_little_memory():
+    """Thousands of rows that each hold a part of one item, against many segments that share q-grams."""
+    rnd = random.Random(4)
+    common = words_of(rnd, 8)
+    items = [(i, f"{common} {words_of(rnd, 25)}") for i in range(40)]
+    segments = D.Segments(items)
+    rows = [f"{words_of(rnd, 2)} {items[i % 40][1][:100]}" for i in range(1_000)]
+    data = np.frombuffer("".join(rows).encode(), np.uint8)
+    tracemalloc.start()
+    found = segments.bands(*D.plain_bytes(data, np.cumsum([0, *map(len, rows)]))[:2])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6 and isinstance(found, list)
+
+
+def test_pieces_change_nothing(spark, sf, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet").collect() for t in ("documents", "benchmark"))
+    texts = [r.text.encode() for r in docs if r.text]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    segments = D.Segments([(r.item_id, r.text) for r in bench])
+    whole = segments.search(data, offsets)
+    monkeypatch.setattr(D, "PIECE", 3000)
+    assert segments.search(data, offsets) == whole and whole
