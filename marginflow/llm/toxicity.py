@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._sample import labelled_sample
+from ._text import blocks, utf8
 
 FIT_ROWS = {0: 4000, 1: 2000}
 FIT_CHARS = 50_000
@@ -196,17 +197,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return fit_rows(sorted(tuple(r) for r in sample.select("text", "toxic", "weight").collect()))
 
 
+def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Blocks of rows with their scores."""
+    compress = model.compressors()
+    for batch in batches:
+        _, offsets = utf8(batch.column("text"))
+        for lo, hi in blocks(offsets):
+            part = batch.slice(lo, hi - lo)
+            stats = [model.statistics(gains(compress, windows(normalise(t.as_py() or "")))) for t in part.column("text")]
+            yield part, model.probability(np.array(stats).reshape(-1, _FEATURES))
+
+
 def _scorer(model: Model, column: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = model.compressors()
-        for batch in batches:
-            stats = [model.statistics(gains(compress, windows(normalise(t.as_py() or "")))) for t in batch.column("text")]
-            found = model.probability(np.array(stats).reshape(-1, _FEATURES))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(found, pa.float64())],
+        for part, found in _scored(model, batches):
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(found, pa.float64())],
                                              [*names, column])
     return run
 
 
+def _cleaner(model: Model, toxic_from: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in _scored(model, batches):
+            yield part.filter(pa.array(found < toxic_from))
+    return run
+
+
 def score(docs: DataFrame, model: Model, column: str = "score", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all) with the probability that a text is toxic.
 
@@ -217,3 +233,9 @@ def score(docs: DataFrame, model: Model, column: str = "score", keep: list[str]
     shown = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
     return (docs.withColumn("text", F.col("text").cast("string"))
             .mapInArrow(_scorer(model, column, [f.name for f in rest]), f"{shown}, `{column}` double"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, toxic_from: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below ``toxic_from``; nulls as in ``score``."""
+    out = docs.withColumn("text", F.col("text").cast("string"))
+    return out.mapInArrow(_cleaner(model, toxic_from), out.schema)
