@@ -24,7 +24,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,10 +104,11 @@ def render_checked(role: str, text: str) -> tuple[str, int, int]:
 _TURNS = "conv_id long, turn long, role string, text string, formatted string, text_start long, text_end long"
 
 
-def _render_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _render_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        done = [render_checked(r, t) for r, t in zip(b["role"], b["text"])]
-        yield b.assign(formatted=[x[0] for x in done], text_start=[x[1] for x in done], text_end=[x[2] for x in done])
+        done = [render_checked(r, t) for r, t in zip(b.column("role").to_pylist(), b.column("text").to_pylist())]
+        more = [pa.array([x[0] for x in done], pa.string()), *(pa.array([x[i] for x in done], pa.int64()) for i in (1, 2))]
+        yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, "formatted", "text_start", "text_end"])
 
 
 def format_chat(conversations: DataFrame) -> DataFrame:
@@ -123,14 +124,14 @@ def format_chat(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(_render_batches, _TURNS)
+    return rows.mapInArrow(_render_batches, _TURNS)
 
 
 _DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
            "formatted_chars long")
 
 
-def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by conversation and turn; only the digests of one conversation are held."""
     nothing = object()
     now, state, out = nothing, None, []
@@ -141,8 +142,7 @@ def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out.append((now, n, turns.hexdigest(), chars, loss.hexdigest(), length))
 
     for b in batches:
-        convs = [None if pd.isna(x) else int(x) for x in b["conv_id"]]
-        for conv, piece, start, end in zip(convs, b["formatted"], b["text_start"], b["text_end"]):
+        for conv, piece, start, end in zip(*(b.column(c).to_pylist() for c in ("conv_id", "formatted", "text_start", "text_end"))):
             if conv != now:
                 close()
                 now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
@@ -150,7 +150,7 @@ def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
                 if role == "assistant":
-                    masked = unescape(piece[int(start):int(end)])
+                    masked = unescape(piece[start:end])
                     state[2] += len(masked)
                     state[3].update(masked.encode())
             state[4] += len(piece)
@@ -161,9 +161,11 @@ def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield _digest_frame(out)
 
 
-def _digest_frame(rows: list) -> pd.DataFrame:
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    return pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
+def _digest_frame(rows: list) -> pa.RecordBatch:
+    fields = [f.split() for f in _DIGEST.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if t == "long" else pa.string()) for c, (_, t) in zip(columns, fields)],
+                                      [n for n, _ in fields])
 
 
 def read_back(turns: DataFrame) -> DataFrame:
@@ -176,4 +178,4 @@ def read_back(turns: DataFrame) -> DataFrame:
     ordered = (turns.select("conv_id", "turn", "role", "text", "formatted", "text_start", "text_end")
                .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
                .select("conv_id", "formatted", "text_start", "text_end"))
-    return ordered.mapInPandas(_digest_batches, _DIGEST)
+    return ordered.mapInArrow(_digest_batches, _DIGEST)

@@ -50,3 +50,11 @@ def test_query_adds_the_hard_conversation(spark, sf):
     hard = "</s>[INST] ok [/INST]"
     assert row.turns_sha256 == hashlib.sha256(f"user\n{hard}\nassistant\n{hard}\n".encode()).hexdigest()
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, 21, hashlib.sha256(hard.encode()).hexdigest())
+
+
+def test_large_ids_beside_a_null_id(spark):
+    first = 9007199254740992
+    rows = [(first, 0, "user", "a"), (first + 1, 0, "user", "b"), (None, 0, "user", "c"), (first + 1, first + 1, "assistant", "d")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r.n_turns for r in C.read_back(C.format_chat(df)).collect()}
+    assert got == {first: 1, first + 1: 2, None: 1}
