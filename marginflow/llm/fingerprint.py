@@ -6,7 +6,8 @@ uniform b come from a hash of the term; with t = floor(ln(weight) / r + b) the
 term's key is ln c - r * (t + 1 - b), and the term with the least key is drawn
 together with its t. Two documents draw the same (term, t) with a probability
 that is the generalised Jaccard similarity of their weights, so the share of
-equal samples estimates it. A sample is kept as 16 bits of a hash of (term, t).
+equal samples estimates it, with a standard error of sqrt(J * (1 - J) / SAMPLES):
+0.05 at J = 0.8, 0.06 at 0.5. A sample is kept as 16 bits of a hash of (term, t).
 
 Each document is compared with the next by doc_id: rows are sorted by range
 and streamed, so that a task holds a block of texts and one text of the next
@@ -101,13 +102,13 @@ def _measure(ids: list, texts: list[str], following: list[str], part: int) -> pa
     own, other = found[:n], found[n:2 * n]
     then = np.concatenate([own[1:], found[2 * n:]]) if chain else found[2 * n:]
 
-    def has_words(row: np.ndarray, text) -> bytes:
-        return row.tobytes() if text.split() else b""
+    def has_words(row: np.ndarray, text: bytes) -> bytes:
+        return row.tobytes() if text.strip() else b""  # bytes: the blanks that part words, no others
 
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([0] * n, pa.int32()), pa.array([part] * n, pa.int32()),
         pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in changed]),
-        pa.array([has_words(r, t) for r, t in zip(own, texts)], pa.binary()),
+        pa.array([has_words(r, t.encode()) for r, t in zip(own, texts)], pa.binary()),
         pa.array([has_words(r, t) for r, t in zip(other, changed)], pa.binary()),
         pa.array(likeness(own, other)), pa.array(likeness(own, then)), pa.nulls(n, pa.string())], schema=pa.schema(_FIELDS))
 

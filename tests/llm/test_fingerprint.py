@@ -59,3 +59,11 @@ def test_odd_rows(make):
     assert P.fingerprints(make([])).count() == 0
     alone = P.fingerprints(make([(9, "only one here", None, None, None)])).first()
     assert alone.near_next == 1.0 and alone.edited_sha256 == hashlib.sha256(b"only one honl").hexdigest()
+
+
+def test_equal_texts_have_equal_fingerprints_whatever_the_blanks(spark):
+    rows = [(i, t) for i, t in enumerate(["\u00a0", "\u00a0", "\u2003x", "\u2003x", " \t", " \t", "a", "a"])]
+    got = P.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = {r.doc_id: (r.fingerprint, r.edited_fingerprint) for r in got}
+    assert all(prints[i][0] == prints[i + 1][0] for i in (0, 2, 4, 6))
+    assert prints[0][0] == prints[0][1] != "" and prints[4] == ("", "")
