@@ -50,7 +50,8 @@ BASE_RULES = (
 )
 MORE_RULES = (
     Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
+    # a token starts where its alphabet starts, so a run that fails is read once
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", 40),
     Rule("ghtoken", r"gh[pousr]_[A-Za-z0-9]+", 40),
 )
 RULES = BASE_RULES + MORE_RULES

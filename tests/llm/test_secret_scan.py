@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import numpy as np
 
@@ -59,3 +60,13 @@ def test_query_equals_brute_force(spark, sf):
         want = brute(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(want.count(k + ":") for k in ("assign", "access", "hex"))
+
+
+def test_hostile_tokens_take_linear_time():
+    jwt = next(r for r in S.RULES if r.kind == "jwt")
+    for text in ("eyJ" * 1_600_000 + ".eyJ", "eyJa.eyJ" * 600_000, "eyJ-" * 1_200_000):
+        start = time.perf_counter()
+        S.find(jwt, jwt.compiled(), text)
+        assert time.perf_counter() - start < 5
+    good = "eyJ" + "a" * 20 + ".eyJ" + "b" * 20 + ".c_-9"
+    assert S.find(jwt, jwt.compiled(), f"x {good}, {good}") == [(2, 2 + len(good)), (4 + len(good), 4 + 2 * len(good))]
