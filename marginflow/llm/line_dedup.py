@@ -8,11 +8,9 @@ sites they were copied to, so whole documents that were copied do not turn
 their lines into boilerplate (finding copies is another operator's work); nor
 can copies, repeats within a page or other boilerplate beside a line save it.
 
-``min_fresh`` gives the narrower rule of the registered query's SQL: a line's
-context in a document is the least hash among the document's other lines, and
-distinct contexts must make up that share of the line's occurrences.
-
 Lines whose estimates lie near a threshold get exact distinct counts first.
+Lines are hashed once: a table of each document's line keys is what the
+sketches, the exact counts and the places of the lines are made of.
 """
 
 from __future__ import annotations
@@ -23,10 +21,9 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 MIN_SITES = 5
-MIN_FRESH = 0.75     # of the registered query's SQL
 LG_K = 10            # 2**10 registers: a standard error of about 2.6 %
 NEAR = 0.12          # estimates this close to a threshold (relatively) are counted exactly
-BROADCAST_ROWS = 200_000  # drop lists that may be broadcast; more of them are joined by shuffle
+BROADCAST_BYTES = 32 << 20  # drop lists that may be broadcast; larger ones are joined by shuffle
 
 
 def line_key(line: Column) -> Column:
@@ -35,55 +32,28 @@ def line_key(line: Column) -> Column:
     return F.when(plain != "", F.conv(F.substring(F.md5(plain.cast("binary")), 1, 15), 16, 10).cast("long"))
 
 
-def _lines(docs: DataFrame, site: str) -> DataFrame:
-    """One row per line that is not blank: doc_id, copy (hash of the text), site, pos, key, context."""
-    keyed = docs.select(
+def keyed_lines(docs: DataFrame, site: str = "source") -> DataFrame:
+    """doc_id, copy (hash of the text), site, keys (of the text's lines in order, null for blank ones)."""
+    return docs.select(
         F.col("doc_id"), F.xxhash64("text").alias("copy"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
         F.transform(F.split("text", "\n"), line_key).alias("keys"))
-    least = F.slice(F.array_sort(F.array_distinct(F.array_compact("keys"))), 1, 2)
-    return (keyed.withColumn("least", least)
-            .select("doc_id", "copy", "site", "least", F.posexplode("keys").alias("pos", "key"))
-            .where("key is not null")
-            .withColumn("context", F.when(F.col("key") == F.get("least", F.lit(0)), F.get("least", F.lit(1)))
-                        .otherwise(F.get("least", F.lit(0))))
-            .drop("least"))
-
-
-def _holders(docs: DataFrame, site: str) -> DataFrame:
-    """One row per document and distinct line that is not blank: key, site, context (hash of all the document's lines)."""
-    keys = F.array_compact(F.transform(F.split("text", "\n"), line_key))
-    return (docs.select(F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), keys.alias("keys"))
-            .select("site", F.xxhash64("keys").alias("context"), F.explode(F.array_distinct("keys")).alias("key")))
 
 
-def boilerplate_keys(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
-                     min_fresh: float | None = None) -> DataFrame:
-    """The keys of boilerplate lines, with exact counts or estimates: key, sites, contexts, seen.
-
-    contexts are distinct texts and seen documents; with ``min_fresh``, as the module tells, distinct
-    contexts and the occurrences that have one.
-    """
-    if min_fresh is None:
-        lines, enough = _holders(docs, site), F.lit(min_sites)
-    else:
-        lines, enough = _lines(docs, site).select("key", "site", "context"), F.col("seen") * min_fresh
-    spread = materialize(lines.groupBy("key").agg(
+def boilerplate_keys(keyed: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """The keys of boilerplate lines among ``keyed_lines``, with exact counts or estimates: key, sites, texts."""
+    solid = F.array_compact("keys")
+    holders = keyed.select("site", F.xxhash64(solid).alias("same"), F.explode(F.array_distinct(solid)).alias("key"))
+    spread = materialize(holders.groupBy("key").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("context", LG_K)).alias("contexts"),
-        F.count("context").alias("seen"))
-        .where((F.col("sites") >= min_sites * (1 - NEAR) - 1)
-               & (F.col("contexts") >= enough * (1 - NEAR) - 1) & (F.col("seen") > 0)))
-    near = ((F.abs(F.col("sites") - min_sites) <= min_sites * NEAR + 1)
-            | (F.abs(F.col("contexts") - enough) <= enough * NEAR + 1))
-    exact = (lines.join(spread.where(near).select("key"), "key", "left_semi").groupBy("key")
-             .agg(F.countDistinct("site").alias("sites"), F.countDistinct("context").alias("contexts"),
-                  F.count("context").alias("seen")))
-    return materialize(spread.where(~near).unionByName(exact)
-                       .where((F.col("sites") >= min_sites) & (F.col("seen") > 0) & (F.col("contexts") >= enough)))
+        F.hll_sketch_estimate(F.hll_sketch_agg("same", LG_K)).alias("texts"))
+        .where(F.least("sites", "texts") >= min_sites * (1 - NEAR) - 1))
+    near = F.least("sites", "texts") <= min_sites * (1 + NEAR) + 1
+    exact = (holders.join(spread.where(near).select("key"), "key", "left_semi").groupBy("key")
+             .agg(F.countDistinct("site").alias("sites"), F.countDistinct("same").alias("texts")))
+    return materialize(spread.where(~near).unionByName(exact).where(F.least("sites", "texts") >= min_sites))
 
 
-def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
-                       min_fresh: float | None = None) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` (all columns) without boilerplate lines in ``text``, and n_lines, n_removed (replacing such columns).
 
     n_lines counts the lines before. Null and empty texts stay as they are and
@@ -92,11 +62,13 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     count as one site and one text, and each come back; an empty table gives no rows.
     """
     rows = docs.withColumn("text", F.col("text").cast("string"))
-    texts = rows.select("doc_id", "text", site).where("text <> ''")
-    bad = boilerplate_keys(texts, site, min_sites, min_fresh).select("key")
-    drops = materialize(_lines(texts, site).join(bad, "key", "left_semi").select("doc_id", "copy", "pos").distinct()
+    keyed = materialize(keyed_lines(rows.select("doc_id", "text", site).where("text <> ''"), site))
+    bad = boilerplate_keys(keyed, min_sites).select("key")
+    places = keyed.select("doc_id", "copy", F.posexplode("keys").alias("pos", "key")).join(bad, "key", "left_semi")
+    drops = materialize(places.select("doc_id", "copy", "pos").distinct()
                         .groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set("pos")).alias("drop_lines")))
-    if drops.count() <= BROADCAST_ROWS:
+    size = drops.agg(F.sum(4 * F.size("drop_lines") + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         drops = F.broadcast(drops)
     d, r = drops.alias("d"), rows.drop("n_lines", "n_removed").withColumn("_copy", F.xxhash64("text")).alias("r")
     joined = r.join(d, F.col("r.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("_copy") == F.col("copy")), "left")

@@ -101,14 +101,12 @@ def budget_rate(cells: DataFrame, budget: float) -> float:
         rate, full = max(rate, (budget - taken) / free), n
 
 
-def fit_mixture(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
-                share: float = 1.0, budget: float | None = None) -> DataFrame:
+def fit_mixture(docs: DataFrame, budget: float, topic: Column | None = None,
+                targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """The raked cells of ``docs``: m_source, m_lang, m_topic, m_tokens, factor, probability, wanted, shortfall.
 
-    Probabilities are min(1, factor * rate). With ``budget``, the share of all tokens to draw, the rate is
+    Probabilities are min(1, factor * rate). ``budget`` is the share of all tokens to draw; the rate is
     solved so that the expected tokens are that share whatever the rarest cell's factor (``budget_rate``).
-    Without, the rate is ``share`` or, if less, what gives the largest factor of a cell with tokens probability 1,
-    so that expected shares are the targets and none is cut off; one tiny margin then shrinks the whole sample.
 
     wanted is factor * rate, the times the targets ask for each row; shortfall the tokens that a cell
     lacks where this is above 1.
@@ -117,11 +115,7 @@ def fit_mixture(docs: DataFrame, topic: Column | None = None, targets: dict[str,
     cells = materialize(with_margins(docs, topic).groupBy(*keys).agg(F.sum("m_tokens").alias("m_tokens")))
     wanted = targets or {k: materialize(tempered_targets(cells, k)) for k in keys}
     fitted = rake(cells, wanted)
-    if budget is not None:
-        rate = budget_rate(fitted, budget * (cells.agg(F.sum("m_tokens")).first()[0] or 0.0))
-    else:
-        most = fitted.where("m_tokens > 0").agg(F.max("factor")).first()[0]
-        rate = min(share, 1.0 / most) if most else share
+    rate = budget_rate(fitted, budget * (cells.agg(F.sum("m_tokens")).first()[0] or 0.0))
     wants = F.col("factor") * F.lit(rate)
     return fitted.withColumns({"probability": F.least(F.lit(1.0), wants), "wanted": wants,
                                "shortfall": F.col("m_tokens") * F.greatest(F.lit(0.0), wants - 1.0)})
@@ -150,8 +144,11 @@ def weigh(docs: DataFrame, cells: DataFrame, topic: Column | None = None, seed:
     return joined.select(*(c for c in docs.columns if c not in new), *(v.alias(k) for k, v in new.items()))
 
 
-def oracle_sql(docs: str = "documents", sweeps: int = SWEEPS, power: float = TEMPER, seed: int = SEED) -> str:
-    """DuckDB SQL for ``weigh(docs, fit_mixture(docs))`` without the text, probabilities to six places."""
+def oracle_sql(budget: float, docs: str = "documents", sweeps: int = SWEEPS, power: float = TEMPER, seed: int = SEED) -> str:
+    """DuckDB SQL for ``weigh(docs, fit_mixture(docs, budget))`` without the text, probabilities to six places.
+
+    The rate is that of the fewest full cells (from the largest factor on) beside which no other cell fills up.
+    """
     marks = " OR ".join(f"contains(text, '{m}')" for m in ("%%%", "###", "***", "&&&", "$$$"))
     ctes = [f"""base AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
   coalesce(CASE WHEN contains(text, ' | ') THEN 'list' WHEN {marks} THEN 'noise' WHEN contains(text, '!!') THEN 'shout'
@@ -171,7 +168,11 @@ def oracle_sql(docs: str = "documents", sweeps: int = SWEEPS, power: float = TEM
   FROM f{k} c JOIN (SELECT {d}, sum(tok * f) AS now FROM f{k} GROUP BY {d}) n ON c.{d} = n.{d} JOIN t_{d} t ON c.{d} = t.{d})""")
             k += 1
     return f"""WITH {', '.join(ctes)},
-rate AS (SELECT least(1.0, 1.0 / max(f)) AS rate FROM f{k} WHERE tok > 0),
+ranked AS (SELECT f, row_number() OVER w AS n, coalesce(sum(tok) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken,
+    sum(tok * f) OVER (ORDER BY f, source DESC, lang DESC, topic DESC) AS free FROM f{k} WHERE tok > 0
+  WINDOW w AS (ORDER BY f DESC, source, lang, topic)),
+rates AS (SELECT n, f, ({budget} * (SELECT t FROM whole) - taken) / free AS rate FROM ranked),
+rate AS (SELECT coalesce((SELECT arg_min(rate, n) FROM rates WHERE f * rate < 1), (SELECT arg_max(rate, n) FROM rates), 0) AS rate),
 prob AS (SELECT source, lang, topic, f, least(1.0, f * (SELECT rate FROM rate)) AS p FROM f{k})
 SELECT b.doc_id, b.topic, b.n_tokens, round(p.f, 6) AS weight, round(p.p, 6) AS probability,
   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{seed}'), 1, 8) AS BIGINT) / 4294967296.0 < p.p AS selected

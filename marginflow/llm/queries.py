@@ -102,17 +102,14 @@ _OP8_SQL = r"""
 WITH cut AS (
   SELECT doc_id, text, coalesce(source, '') AS site, string_split(text, chr(10)) AS parts FROM documents WHERE text <> ''),
 keyed AS (
-  SELECT doc_id, text, site, parts, list_transform(parts, lambda x: CASE WHEN trim(lower(x)) <> ''
+  SELECT doc_id, site, parts, list_transform(parts, lambda x: CASE WHEN trim(lower(x)) <> ''
     THEN CAST('0x' || substr(md5(trim(lower(x))), 1, 15) AS BIGINT) END) AS keys FROM cut),
-least AS (
-  SELECT *, list_sort(list_distinct(list_filter(keys, lambda x: x IS NOT NULL))) AS low FROM keyed),
 exploded AS (
-  SELECT doc_id, site, low, unnest(keys) AS key, unnest(parts) AS part, unnest(range(len(keys))) AS pos FROM least),
-lines AS (
-  SELECT *, CASE WHEN key = low[1] THEN low[2] ELSE low[1] END AS context FROM exploded WHERE key IS NOT NULL),
+  SELECT doc_id, site, list_filter(keys, lambda x: x IS NOT NULL) AS same, unnest(keys) AS key, unnest(parts) AS part,
+    unnest(range(len(keys))) AS pos FROM keyed),
 bad AS (
-  SELECT key FROM lines GROUP BY key
-  HAVING count(DISTINCT site) >= 5 AND count(context) > 0 AND count(DISTINCT context) >= count(context) * 0.75),
+  SELECT key FROM exploded WHERE key IS NOT NULL GROUP BY key
+  HAVING count(DISTINCT site) >= 5 AND count(DISTINCT same) >= 5),
 marked AS (SELECT e.*, b.key IS NOT NULL AS gone FROM exploded e LEFT JOIN bad b ON e.key = b.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   coalesce(string_agg(part, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
@@ -124,8 +121,7 @@ UNION ALL SELECT doc_id, 0, 0, text FROM documents WHERE text IS NULL OR text =
 @query("op8_line_dedup", _OP8_SQL)
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    # The SQL above states the rule with min_fresh; the pipeline takes the wider one.
-    return line_dedup.remove_boilerplate(docs, min_fresh=line_dedup.MIN_FRESH).select("doc_id", "n_lines", "n_removed", "text")
+    return line_dedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
 @query("op6_decontaminate")
@@ -133,10 +129,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op5_mixing", mixing.oracle_sql())
+MIX_BUDGET = 0.3  # share of the tokens that the mixture draws
+
+
+@query("op5_mixing", mixing.oracle_sql(MIX_BUDGET))
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    weighed = mixing.weigh(docs, mixing.fit_mixture(docs))
+    weighed = mixing.weigh(docs, mixing.fit_mixture(docs, MIX_BUDGET))
     return weighed.select("doc_id", "topic", "n_tokens", F.round("weight", 6).alias("weight"),
                           F.round("probability", 6).alias("probability"), "selected")
 

@@ -74,3 +74,12 @@ def test_one_odd_document_does_not_shrink_the_mixture(spark, sf, make):
     plain = [(i, f"some words of document {i}", "en", f"s{i % 5}", 9) for i in range(3000)]
     got = P.mix_sources(spark, make([*plain, (-1, "other words", "new language", "new source", 9)]), sf).collect()
     assert -1 in {r.doc_id for r in got} and len(got) == pytest.approx(3000 * P.MIX_BUDGET, rel=0.1)
+
+
+def test_repeated_ids_with_other_texts(spark, sf, make):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "red green blue cyan black white")
+    docs = make([(i, t, "en", "s", len(t)) for i, t in ((1, a), (2, a), (2, b), (3, c), (3, c), (None, a), (None, b))])
+    got = sorted(((r.doc_id, r.text) for r in P.drop_near_copies(spark, docs, sf).collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (3, c)], key=str)
+    docs = docs.where("doc_id is not null")
+    assert sorted((r.doc_id, r.text) for r in P.drop_near_copies(spark, docs, sf).collect()) == [(1, a), (2, b), (3, c)]
