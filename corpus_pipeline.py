@@ -10,19 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginflow.llm import decontaminate, line_dedup, mixing, near_dedup, toxicity
-from marginflow.llm.queries import fit_toxicity, table
+from marginflow.llm.queries import MIX_BUDGET, fit_toxicity, table
 from marginflow.session import materialize
 
 TOXIC_FROM = 0.7
 SHINGLE_WORDS, LINK_PERCENT = 5, 80
-MIX_BUDGET = 0.3  # share of the tokens that the mixture draws
 BROADCAST_IDS = 1_000_000  # ids that may be broadcast (8 MB); more are joined by shuffle
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose score is ``TOXIC_FROM`` or more. Empty and null texts are scored like others."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC_FROM).select(*docs.columns)
+    return toxicity.drop_toxic(docs, model, TOXIC_FROM).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +34,22 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; repeated rows once."""
-    classes = near_dedup.near_duplicates(docs, SHINGLE_WORDS, LINK_PERCENT)
-    gone = materialize(classes.where("not kept").select("doc_id"))
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return rest
-    return rest.dropDuplicates(["doc_id", "text"])
+    """The document with the smallest doc_id of each group of near copies; repeated rows once.
+
+    Rows are told by doc_id and text: where an id repeats with another text, each row goes or stays by its own text.
+    """
+    repeated = docs.groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        gone = materialize(near_dedup.near_duplicates(docs, SHINGLE_WORDS, LINK_PERCENT).where("not kept").select("doc_id"))
+        if gone.count() <= BROADCAST_IDS:
+            gone = F.broadcast(gone)
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # numbers in the order of doc_id stand for the rows
+    rows = materialize(docs.dropDuplicates(["doc_id", "text"]).repartitionByRange("doc_id")
+                       .sortWithinPartitions("doc_id", F.xxhash64("text"))
+                       .withColumn("_near_row", F.monotonically_increasing_id()))
+    classes = near_dedup.near_duplicates(rows.select(F.col("_near_row").alias("doc_id"), "text"), SHINGLE_WORDS, LINK_PERCENT)
+    return rows.join(classes.where("kept").select(F.col("doc_id").alias("_near_row")), "_near_row").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +59,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents drawn by probabilities calibrated to ``MIX_BUDGET``, with topic, n_tokens, weight and probability."""
-    return mixing.weigh(docs, mixing.fit_mixture(docs, budget=MIX_BUDGET)).where("selected").drop("selected")
+    return mixing.weigh(docs, mixing.fit_mixture(docs, MIX_BUDGET)).where("selected").drop("selected")
 
 
 STAGES = [
