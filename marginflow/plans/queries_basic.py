@@ -10,7 +10,8 @@ from ..functions import (business_date_key, comma_decimal, fx_exposure_entries,
                          nominal, parse_business_date, pillar_days, product_key, tenor_code_days,
                          tenor_days, vol_currency)
 from ..operators import dedup, filters, joins
-from ..operators.xml import counterparty_scope, extract_roles
+from ..operators.xml import counterparty_scope, extract_roles, parse_roles
+from ..session import shared_path
 from ..sources import fixtures as fx
 from ..sources.scan import load_day, load_latest, read_table
 from .registry import query, r4, ymd
@@ -80,6 +81,19 @@ def q_load_latest(spark, d):
     return load_latest(_orders_by_day(spark, d))
 
 
+_MONTHS = ("year", "month")
+
+
+@query("load_newest", f"""
+with t as {_ORDERS_BY_DAY}
+select * from t where year*100 + month = (select max(year*100 + month) from t)""")
+def q_load_newest(spark, d):
+    """S3 / T2 on a partitioned table: the newest partition is told by a folder listing."""
+    path = shared_path(spark)
+    _orders_by_day(spark, d).repartition(*_MONTHS).write.partitionBy(*_MONTHS).parquet(path)
+    return load_latest(spark.read.parquet(path), _MONTHS, path).select("o_orderkey", "o_custkey", "year", "month", "day")
+
+
 @query("load_day", f"""
 with t as {_ORDERS_BY_DAY}
 select * from t where year = {LOAD_DAY.year} and month = {LOAD_DAY.month} and day = {LOAD_DAY.day}""")
@@ -247,6 +261,17 @@ def q_extract_roles(spark, d):
     return extract_roles(fx.cpty_xml(spark, d))
 
 
+@query("xml_rejects", """
+select count(*) filter (where c_custkey % 13 <> 0) + count(*) filter (where c_custkey % 13 <> 0 and c_custkey % 11 = 0)
+     + count(*) filter (where c_custkey % 13 <> 0 and c_custkey % 3 = 0) as n_roles,
+       count(*) filter (where c_custkey % 13 = 0) as n_malformed from customer""")
+def q_xml_rejects(spark, d):
+    """X1 with every thirteenth document cut off: roles found and documents rejected."""
+    cut = F.when(F.col("c_custkey") % 13 == 0, F.expr("left(doc, length(doc) - 9)")).otherwise(F.col("doc"))
+    roles = parse_roles(fx.cpty_xml(spark, d).withColumn("doc", cut))
+    return roles.agg(F.count_if(~F.col("malformed")).alias("n_roles"), F.count_if("malformed").alias("n_malformed"))
+
+
 @query("counterparty_scope", f"""with {_SCOPE_SQL}
 select counterparty, ref_code, entity, short_name, contract, strftime(filter_date, '%Y-%m-%d') as filter_date from cpty_scope""")
 def q_counterparty_scope(spark, d):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df: DataFrame, how: str = "table") -> DataFrame:
+def materialize(df: DataFrame, how: str = "table", files: int | None = None) -> DataFrame:
     """Cut the lineage of an intermediate that several branches read.
 
     ``table`` (default) writes it once as parquet under the shared folder
@@ -57,7 +59,8 @@ def materialize(df: DataFrame, how: str = "table") -> DataFrame:
     prunable, and a lost executor re-reads it instead of recomputing
     everything upstream. ``checkpoint`` uses Spark's reliable RDD checkpoint
     in the same folder (it evaluates the input twice unless cached).
-    ``none`` keeps one lazy plan.
+    ``none`` keeps one lazy plan. ``files`` bounds the files of a table that is known to be small
+    (and the tasks that write it), whatever the number of shuffle partitions.
     """
     if how == "none":
         return df
@@ -66,8 +69,34 @@ def materialize(df: DataFrame, how: str = "table") -> DataFrame:
     if how == "checkpoint":
         return df.checkpoint(eager=True)
     if how == "table":
-        import uuid
-        path = f"{root.rstrip('/')}/marginflow-tables/{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
+        path = shared_path(spark)
+        (df.coalesce(files) if files else df).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     raise ValueError(f"unknown materialize mode {how!r}")
+
+
+SCRATCH = "marginflow-tables"
+_scratch: list[list[str]] = []   # paths made within each open ``scratch_tables`` block
+
+
+def shared_path(spark: SparkSession, kind: str = SCRATCH) -> str:
+    """A new path under the shared folder; removed with the innermost open ``scratch_tables`` block."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession):
+    """Remove the tables that were materialised within the block when it ends, failed or not.
+
+    For jobs: open it around building and writing a result. Frames built inside must not be read after it.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(fs_path, True)

@@ -40,20 +40,52 @@ def load_day(df: DataFrame, day: dt.date, keys=PARTITION_KEYS) -> DataFrame:
     return df.where((F.col(y) == day.year) & (F.col(m) == day.month) & (F.col(d) == day.day))
 
 
-def load_latest(df: DataFrame, keys=PARTITION_KEYS) -> DataFrame:
+def newest_partition(spark: SparkSession, path: str, keys=PARTITION_KEYS) -> tuple | None:
+    """The greatest ``key=value`` folder under ``path``, level by level: a listing of one folder per key, no data.
+
+    Values compare as numbers where all of a level are, else as text. Folders without files below are passed over;
+    None: no partition.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def below(at, names) -> tuple | None:
+        if not names:
+            return () if any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(at)) else None
+        mark = names[0] + "="
+        found = [(f.getPath().getName()[len(mark):], f.getPath()) for f in fs.listStatus(at)
+                 if f.isDirectory() and f.getPath().getName().startswith(mark)]
+        numbers = all(v.lstrip("-").isdigit() for v, _ in found)
+        for value, child in sorted(found, key=lambda x: int(x[0]) if numbers else x[0], reverse=True):
+            rest = below(child, names[1:])
+            if rest is not None:
+                return (int(value) if numbers else value, *rest)
+        return None
+
+    return below(folder(path), list(keys))
+
+
+def _is_key(values: dict) -> Column:
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(v)) for k, v in values.items()])
+
+
+def load_latest(df: DataFrame, keys=PARTITION_KEYS, path: str | None = None) -> DataFrame:
     """S3: rows of the newest ``(year, month, day)`` partition.
 
-    When the frame has no partition triple the table is returned whole. The
-    newest key is found first, from the key columns alone (for a partitioned
-    table Spark answers from partition values); the filter then is three
-    literals, which prune partitions. An empty table stays empty.
+    When the frame has no partition triple the table is returned whole. With
+    ``path``, the folder that ``df`` was read from, the newest key comes from its
+    listing (``newest_partition``); otherwise from the key columns, which reads them. The filter
+    is three literals, which prune partitions. An empty table stays empty.
     """
     if not all(k in df.columns for k in keys):
         return df
-    newest = df.select(*keys).agg(F.max(F.struct(*keys)).alias("newest")).first()["newest"]
-    if newest is None:
-        return df.limit(0)
-    return df.where(reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(newest[k])) for k in keys]))
+    if path is not None:
+        newest = newest_partition(df.sparkSession, path, keys)
+        newest = None if newest is None else dict(zip(keys, newest))
+    else:
+        row = df.select(*keys).agg(F.max(F.struct(*keys)).alias("newest")).first()["newest"]
+        newest = None if row is None else row.asDict()
+    return df.limit(0) if newest is None else df.where(_is_key(newest))
 
 
 def load_xml(df: DataFrame, xml_col: str = "doc", must_contain: str = "<GLOBAL>") -> DataFrame:

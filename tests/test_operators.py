@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marginflow.operators import arrival, bucketing, dedup, joins, products, reshape
 from marginflow.operators.fill import fill_nearest
 from marginflow.operators.volatility import complete_surface
-from marginflow.operators.xml import extract_roles, recover_aliases
+from marginflow.operators.xml import extract_roles, parse_roles, recover_aliases
 from marginflow.sources import fixtures as fx
 
 
@@ -304,3 +304,24 @@ def test_surface_keeps_labels_with_equal_days(spark):
     asked = spark.createDataFrame([("EUR", "2W"), ("EUR", "6M"), ("EUR", "2W")], "currency string, tenor string")
     got = {r.tenor: float(r.vol) for r in complete_surface(asked, surface).collect()}
     assert got == {"14D": 5.0, "2W": 5.0, "6M": 9.0, "1Y": 3.0}
+
+
+def test_roles_of_odd_documents(spark):
+    """Whatever the JVM parser does not hold whole is walked; malformed documents are told, null ones give nothing."""
+    def role(name, *contexts):
+        return (f"<ROLE_IDENTIFIER><Role_Identifier>{name}</Role_Identifier>"
+                + "".join(f"<Role_Identifier_Context>{c}</Role_Identifier_Context>" for c in contexts) + "</ROLE_IDENTIFIER>")
+
+    def doc(code, *roles):
+        return f"<GLOBAL><OPERATIVES><OPERATIVE>{code}<ROLES>{''.join(roles)}</ROLES></OPERATIVE></OPERATIVES></GLOBAL>"
+
+    ref = "<RDR_Code_Operative>R1</RDR_Code_Operative>"
+    docs = [doc(ref, role("A", "MUREXID", "OTHER")), doc("", role("B", "CALYPSOID")), doc(ref + ref, role("C", "MUREXID")),
+            doc(ref, "<X>" + role("D", "MUREXID") + "</X>"), doc(ref, role(" E &amp; ", "MUREXID")), doc(ref),
+            doc(f"<!-- {role('N', 'MUREXID')} -->" + ref, role("F", "MUREXID")), doc(ref, role("G"))[:-3], "", "no xml", None,
+            "<GLOBAL/>", doc(ref, role("", "MUREXID"))]
+    got = parse_roles(spark.createDataFrame([(d,) for d in docs], "doc string")).collect()
+    assert sorted((r.identifier, r.ref_code, r.origin) for r in got if not r.malformed) == [
+        ("", "R1", "MUREXID"), (" E & ", "R1", "MUREXID"), ("A", "R1", "MUREXID"), ("B", "", "CALYPSOID"),
+        ("C", "R1R1", "MUREXID"), ("D", "R1", "MUREXID"), ("F", "R1", "MUREXID")]
+    assert [r.malformed for r in got].count(True) == 3

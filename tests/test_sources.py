@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marginflow.operators import filters
 from marginflow.sources import fixtures as fx
-from marginflow.sources.scan import load_day, load_latest, load_xml, read_table, scan
+from marginflow.sources.scan import load_day, load_latest, load_xml, newest_partition, read_table, scan
 from tests.conftest import SF_SMALL
 
 
@@ -58,3 +58,20 @@ def test_load_xml_and_period_and_has_rows(spark):
     closed = filters.in_period(log, "loaded_at", a, b, inclusive_end=True).count()
     assert 0 < half <= closed
     assert filters.has_rows(log) and not filters.has_rows(log.where("false"))
+
+
+def test_newest_partition_is_listed_not_read(spark, scratch):
+    rows = [(v, 2023, 12, 31) for v in range(3)] + [(9, 2024, 2, 9), (10, 2024, 2, 10), (11, 2024, 1, 31)]
+    path = f"{scratch}/t"
+    spark.createDataFrame(rows, "v int, year int, month int, day int").write.partitionBy("year", "month", "day").parquet(path)
+    os.makedirs(f"{path}/year=2025/month=1/day=1")  # empty
+    assert newest_partition(spark, path) == (2024, 2, 10)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("newest")
+    spark.sparkContext.setJobGroup("newest", "")
+    latest = load_latest(spark.read.schema("v int, year int, month int, day int").parquet(path), path=path)
+    assert tuple(spark.sparkContext.statusTracker().getJobIdsForGroup("newest")) == tuple(jobs)  # no job ran
+    assert [tuple(r) for r in latest.collect()] == [(10, 2024, 2, 10)]
+    plan = latest._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan or "(year" in plan.split("PartitionFilters:")[1]
+    assert newest_partition(spark, f"{scratch}") is None
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
