@@ -24,6 +24,7 @@ SWEEPS = 8
 TEMPER = 0.7
 SEED = 17
 BROADCAST_CELLS = 100_000
+CELL_FILES = 8   # files of a table of cells
 
 DIMS = ("source", "lang", "topic")
 
@@ -79,7 +80,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
                      .select(dim, F.when((F.col("now") > 0) & F.col("target").isNotNull(),
                                          F.col("target") * F.lit(total) / F.col("now")).otherwise(1.0).alias("ratio")))
             fitted = fitted.join(ratio, dim).withColumn("factor", F.col("factor") * F.col("ratio")).drop("ratio")
-        fitted = materialize(fitted)
+        fitted = materialize(fitted, files=CELL_FILES)
     return fitted
 
 
@@ -112,8 +113,8 @@ def fit_mixture(docs: DataFrame, budget: float, topic: Column | None = None,
     lacks where this is above 1.
     """
     keys = [f"m_{d}" for d in DIMS]
-    cells = materialize(with_margins(docs, topic).groupBy(*keys).agg(F.sum("m_tokens").alias("m_tokens")))
-    wanted = targets or {k: materialize(tempered_targets(cells, k)) for k in keys}
+    cells = materialize(with_margins(docs, topic).groupBy(*keys).agg(F.sum("m_tokens").alias("m_tokens")), files=CELL_FILES)
+    wanted = targets or {k: materialize(tempered_targets(cells, k), files=CELL_FILES) for k in keys}
     fitted = rake(cells, wanted)
     rate = budget_rate(fitted, budget * (cells.agg(F.sum("m_tokens")).first()[0] or 0.0))
     wants = F.col("factor") * F.lit(rate)
