@@ -86,7 +86,7 @@ def due_days(tagged: DataFrame, masks: Mapping[str, Sequence[str]], app_id: str)
 
 def on_days(df: DataFrame, days: DataFrame) -> DataFrame:
     """S2 for many days: the partitions of ``df`` that ``days`` (year, month, day) names, by a semi join
-    (dynamic partition pruning where ``df`` is a partitioned table)."""
+    (dynamic partition pruning where ``df`` is a partitioned table and ``days`` is filtered)."""
     return df.join(F.broadcast(days.select(*PARTITION_KEYS).distinct()), list(PARTITION_KEYS), "left_semi")
 
 
@@ -109,7 +109,7 @@ def gated_margin(tagged: DataFrame, masks: Mapping[str, Sequence[str]], inputs:
     missing = [n for n in (*DAILY, *of_load) if not set(PARTITION_KEYS) <= set(getattr(inputs, n).columns)]
     if missing:
         raise ValueError(f"without year, month, day: {', '.join(missing)}")
-    days = materialize(due_days(tagged, masks, app_id))
+    days = materialize(due_days(tagged, masks, app_id)).where(F.col("load").isin(*set(of_load.values())))
     chosen = {feed: _keyed_by_day(on_days(getattr(inputs, feed), days.where(F.col("load") == load)))
               for feed, load in of_load.items()}
     daily = {n: _keyed_by_day(on_days(getattr(inputs, n), days)) for n in DAILY}
