@@ -188,8 +188,9 @@ def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
 
 def rates_vega(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame) -> DataFrame:
     """E7 (SIMM) + E8 (Schedule) from a rates-vega feed (``risk_factor, vol_group,
-    option_tenor, underlying_tenor, vega``; optional ``currency, vega_pnl``).
-    The P&L join (with the trade date) runs before the counterparty join, so a
+    option_tenor, underlying_tenor, normal_vega, inflation_vega, yield_vega``; optional
+    ``currency, normal_vega_pnl, yield_vega_pnl``). The amount is the three vegas' sum; the P&L amount
+    leaves inflation out. The P&L join (with the trade date) runs before the counterparty join, so a
     row needs P&L in both models."""
     s = _prefix(sens, trades, cpty, pl=pl)
     cols = dict(_common(s))
@@ -202,6 +203,7 @@ def rates_vega(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFram
         "source_name": F.lit("VegaIR"), "amount_cup0": _zero(), "pnlvar_delta_ir": _zero(),
         "pnlvar_delta_fx": empty_exposure(),
     })
-    simm = dict(cols, risk_type=F.lit("Risk_IRVol"), amount=F.col("vega"),
-                pnlvar_vega_ir=col_or(s, "vega_pnl", _zero()))
-    return _both_models(filters.nonzero(s, "vega"), simm, dict(cols, pnlvar_vega_ir=_zero()), None)
+    vegas = ("normal_vega", "inflation_vega", "yield_vega")
+    simm = dict(cols, risk_type=F.lit("Risk_IRVol"), amount=sum((F.col(c) for c in vegas[1:]), F.col(vegas[0])),
+                pnlvar_vega_ir=col_or(s, "normal_vega_pnl", _zero()) + col_or(s, "yield_vega_pnl", _zero()))
+    return _both_models(filters.nonzero(s, *vegas), simm, dict(cols, pnlvar_vega_ir=_zero()), None)

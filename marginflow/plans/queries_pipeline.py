@@ -26,6 +26,17 @@ def _orders_keys(spark, d):
                     F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("counterparty"))
 
 
+def rates_in(spark, d):
+    """Rates delta with zero-curve amounts, direct and cross sensitivities, and inflation-linked currency."""
+    s = fx.sens_ir(spark, d)
+    ln = F.col("line_no")
+    return s.withColumns({
+        "dv01_zero": (F.col("dv01_par") * 2 + ln).cast("decimal(23,8)"),
+        "inflation_zero": (F.col("inflation_par") + 1).cast("decimal(23,8)"),
+        "sensi_cross": F.when(ln % 2 == 0, "Direct sensi").when(ln % 3 == 0, F.lit(None)).otherwise("Cross sensi"),
+        "currency": F.when((F.col("currency") == "MXN") & (ln % 3 == 0), "UDI").otherwise(F.col("currency"))})
+
+
 def credit_in(spark, d):
     return fx.sens_credit(spark, d).withColumn("strategy", F.lit("NS"))
 
@@ -36,22 +47,37 @@ def fx_in(spark, d):
 
 def vega_in(spark, d):
     v = fx.sens_vega(spark, d).join(_orders_keys(spark, d), "trade_id")
+    ln, vega = F.col("line_no"), F.col("vega")
+    parts = {"normal_vega": vega, "inflation_vega": F.when(ln % 4 == 0, -vega - ln).otherwise(ln * 3), "yield_vega": ln,
+             "normal_vega_pnl": vega * 2, "yield_vega_pnl": ln}   # the vegas of every fourth line cancel
+    v = v.withColumns({n: c.cast("decimal(23,8)") for n, c in parts.items()}).drop("vega")
     return v.withColumns({"entity": F.lit("0182"), "source_system": F.lit("front3"),
                           "as_of": F.lit(fx.AS_OF), "strategy": F.lit("NS")})
 
 
 _ADAPT_SQL = f"""
+rates_0 as (select * replace (case when currency = 'MXN' and line_no % 3 = 0 then 'UDI' else currency end as currency),
+            cast(dv01_par * 2 + line_no as decimal(23,8)) as dv01_zero, cast(inflation_par + 1 as decimal(23,8)) as inflation_zero,
+            case when line_no % 2 = 0 then 'Direct sensi' when line_no % 3 = 0 then null else 'Cross sensi' end as sensi_cross
+            from sens_ir),
+rates_in as (select * from rates_0),
+vega_3 as (select * exclude (vega), vega as normal_vega, line_no as yield_vega, vega * 2 as normal_vega_pnl, line_no as yield_vega_pnl,
+            case when line_no % 4 = 0 then -vega - line_no else line_no * 3 end as inflation_vega from sens_vega),
 credit_in as (select *, 'NS' as strategy from sens_credit),
 fx_in as (select *, {AS_OF_SQL} as as_of, 'NS' as strategy from sens_fx),
 vega_in as (select v.*, 'PF'||cast(o.o_custkey%20 as string) as portfolio, 'C'||cast(o.o_custkey as string) as counterparty,
             '0182' as entity, 'front3' as source_system, {AS_OF_SQL} as as_of, 'NS' as strategy
-            from sens_vega v join orders o on v.trade_id = 'T'||cast(o.o_orderkey as string)),
-trades_s as (select * from trades where source_app = 'FRONT'),
+            from vega_3 v join orders o on v.trade_id = 'T'||cast(o.o_orderkey as string)),
+trades_s as (select * replace (case when cast(substr(trade_id, 2) as bigint) % 17 = 0 then '' else booked_text end as booked_text)
+            from trades where source_app = 'FRONT'),
 pl_s as (select * from pl where market_value <> 0)"""
 
 
 def _trades_snapshot(spark, d):
     t = filters.trade_snapshot(fx.trades(spark, d))
+    # every seventeenth trade has no booking date
+    unbooked = F.expr("cast(substring(trade_id, 2) as bigint) % 17 = 0")
+    t = t.withColumn("booked_text", F.when(unbooked, "").otherwise(F.col("booked_text")))
     return dedup.dedup_by(t, ["trade_id", "portfolio"])
 
 
@@ -114,14 +140,16 @@ _RD_OVER = {
     "family": "family", "grp": "grp", "typ": "typ", "qualifier": "currency",
     "risk_factor": "case when curve <> '' then curve else inflation_curve end",
     "sens_maturity": "maturity_text", "source_name": "'DeltaIR'",
+    "amount_cup0": "cast(dv01_zero + inflation_zero as decimal(23,8))",
 }
-_RD_SQL = f"""{_prefix_sql('rd', 'sens_ir')},
+_RD_SQL = f"""{_prefix_sql('rd', 'rates_in')},
 rd_v as (select * from rd_p where (family||'-'||grp||'-'||typ is not distinct from 'IRD-CS-' and version is not distinct from '07')
    or family||'-'||grp||'-'||typ <> 'IRD-CS-'),
 rd_pl as (select v.*, p.market_value from rd_v v join pl_s p on v.trade_id = p.trade_id and v.portfolio = p.portfolio),
 rd_out as ({_canon_sql('rd_v', dict(_RD_OVER, im_model="'SIMM'",
             risk_type="case when curve <> '' then 'Risk_IRCurve' else 'Risk_Inflation' end",
             sector="case when curve <> '' then '1' else '' end", label2="case when curve <> '' then 'OIS' else '' end",
+            pnlvar_delta_ir="case when sensi_cross is not distinct from 'Direct sensi' then dv01_zero else 0 end",
             amount="cast(dv01_par + inflation_par as decimal(23,8))"), "dv01_par + inflation_par <> 0")}
   union all {_sched_sql('rd_pl', _RD_OVER, "dv01_par + inflation_par <> 0")})"""
 
@@ -148,8 +176,9 @@ _VG_OVER = {"trade_date": "trade_date", "vol_group_agg": "vol_group", "qualifier
             "underlying_maturity": "underlying_tenor", "source_name": "'VegaIR'"}
 _VG_SQL = f"""{_prefix_sql('vg', 'vega_in', with_pl=True)},
 vg_out as ({_canon_sql('vg_p', dict(_VG_OVER, im_model="'SIMM'", risk_type="'Risk_IRVol'",
-            amount="cast(vega as decimal(23,8))"), "vega <> 0")}
-  union all {_sched_sql('vg_p', _VG_OVER, "vega <> 0")})"""
+            amount="cast(normal_vega + inflation_vega + yield_vega as decimal(23,8))",
+            pnlvar_vega_ir="cast(normal_vega_pnl + yield_vega_pnl as decimal(23,8))"), "normal_vega + inflation_vega + yield_vega <> 0")}
+  union all {_sched_sql('vg_p', _VG_OVER, "normal_vega + inflation_vega + yield_vega <> 0")})"""
 
 
 def _feed_query_sql(out: str, body: str) -> str:
@@ -180,7 +209,7 @@ def _args(spark, d):
 
 @query("rates_delta", _feed_query_sql("rd_out", _RD_SQL))
 def q_rates_delta(spark, d):
-    return _feed_query_cols(feeds.rates_delta(fx.sens_ir(spark, d), *_args(spark, d)))
+    return _feed_query_cols(feeds.rates_delta(rates_in(spark, d), *_args(spark, d)))
 
 
 @query("credit_delta", _feed_query_sql("cr_out", _CR_SQL))
@@ -258,7 +287,7 @@ def margin_inputs(spark, d) -> MarginInputs:
         trade_product=fx.trade_product(spark, d), products=fx.products(spark, d),
         portfolios=filters.portfolio_perimeter(fx.portfolios(spark, d)), match_ids=fx.match_ids(spark, d),
         grid=fx.grid(spark), vol_fx=fx.vol_fx(spark), vol_cv=fx.vol_cv(spark), vol_sv=fx.vol_sv(spark),
-        rates_delta=fx.sens_ir(spark, d), credit_delta=credit_in(spark, d), fx=fx_in(spark, d),
+        rates_delta=rates_in(spark, d), credit_delta=credit_in(spark, d), fx=fx_in(spark, d),
         rates_vega=vega_in(spark, d))
 
 

@@ -98,14 +98,14 @@ def _gated_sql() -> str:
 
     body = pipe._MARGIN_SQL
     for old, new in (
-            ("credit_in as (", "credit_0 as ("), ("fx_in as (", "fx_0 as ("), ("vega_in as (", "vega_0 as ("),
+            ("rates_in as (select * from rates_0),\n", ""), ("credit_in as (", "credit_0 as ("), ("fx_in as (", "fx_0 as ("), ("vega_in as (", "vega_0 as ("),
             ("pl_s as (select * from pl where market_value <> 0)", f"""pl_0 as (select * from pl where market_value <> 0),
 pl_s as {snapshot('pl_0', 3, ", cast(s.market_value + s.off as decimal(23,8)) as market_value")},
 trades_d as {snapshot('trades_s', 3, ", case when s.off = 1 then '0,00' else s.pay_text end as pay_text")},
 product_d as {snapshot('trade_product', 3)}, match_d as {snapshot('match_ids', 2)},
-rates_in as {feed('sens_ir', 'rates', 'maturity')}, credit_in as {feed('credit_0', 'credit', 'maturity')},
+rates_in as {feed('rates_0', 'rates', 'maturity')}, credit_in as {feed('credit_0', 'credit', 'maturity')},
 fx_in as {feed('fx_0', 'fx', '')}, vega_in as {feed('vega_0', 'rates', '')}"""),
-            ("from sens_ir s join trades_s", "from rates_in s join trades_s"), ("join trades_s t on", "join trades_d t on"),
+            ("join trades_s t on", "join trades_d t on"),
             ("join trade_product tp on u.", "join product_d tp on u."), ("join match_ids m on u2.", "join match_d m on u2."),
             ("select source_name, im_model, risk_type, bucket, count(*) as n_rows,",
              "select strftime(strptime(right(trade_id, 8), '%Y%m%d'), '%Y-%m-%d') as period_day, source_name, im_model, risk_type, bucket, count(*) as n_rows,"),
