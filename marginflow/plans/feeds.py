@@ -19,6 +19,7 @@ from ..functions import (AMOUNT, comma_decimal, empty_exposure, fx_exposure, isi
                          product_key)
 from ..functions._util import col_or
 from ..operators import dedup, filters, joins, reshape
+from ..operators.observe import observe_counts
 
 # The 39 canonical columns of a sensitivity row (order is documentation only:
 # every union is by name).
@@ -44,15 +45,18 @@ def _no_date():
 
 
 def _prefix(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame | None = None,
-            entity: str = "0182", source: str = "front3") -> DataFrame:
-    """F1 -> J1 -> dates + nominal -> (J4 for rates vega) -> J2."""
-    s = filters.in_scope(sens, entity, source)
-    s = joins.with_trade_dates(joins.join_trades(s, trades))
+            entity: str = "0182", source: str = "front3", name: str = "", counters: dict | None = None) -> DataFrame:
+    """F1 -> J1 -> dates + nominal -> (J4 for rates vega) -> J2, counted after each step."""
+    def point(df: DataFrame, step: str, *keys: str) -> DataFrame:
+        return observe_counts(df, f"{name}.{step}", counters, keys)
+
+    s = point(filters.in_scope(point(sens, "input", "entity", "source_system"), entity, source), "in_scope", "trade_id", "portfolio")
+    s = point(joins.with_trade_dates(joins.join_trades(s, trades)), "traded", "counterparty", "entity", "booked_date")
     s = s.withColumn("nominal", nominal(comma_decimal("pay_text"), comma_decimal("receive_text"),
                                         "pay_ccy", "receive_ccy"))
     if pl is not None:
-        s = joins.join_pl(s, pl, with_trade_date=True)
-    return joins.join_counterparty(s, cpty)
+        s = point(joins.join_pl(s, pl, with_trade_date=True), "priced", "counterparty", "entity", "booked_date")
+    return point(joins.join_counterparty(s, cpty), "in_perimeter")
 
 
 def _common(df: DataFrame) -> dict:
@@ -115,10 +119,11 @@ def _both_models(rows: DataFrame, simm_cols: dict, sched_cols: dict, pl: DataFra
 
 # ---------------------------------------------------------------- E1 / E2 rates delta
 
-def rates_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame) -> DataFrame:
+def rates_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
+                counters: dict | None = None) -> DataFrame:
     """E1 (SIMM) + E2 (Schedule) from a rates-delta feed
     (``dv01_par, inflation_par``; optional ``dv01_zero, inflation_zero, sensi_cross``)."""
-    s = _prefix(sens, trades, cpty)
+    s = _prefix(sens, trades, cpty, name="rates_delta", counters=counters)
     s = filters.version_rule(s, product_key("family", "grp", "typ"))
     has_curve = F.col("curve") != ""
     cols = dict(_common(s))
@@ -144,9 +149,10 @@ def rates_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFra
 
 # ---------------------------------------------------------------- E3 / E4 credit delta
 
-def credit_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame) -> DataFrame:
+def credit_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
+                 counters: dict | None = None) -> DataFrame:
     """E3 (SIMM) + E4 (Schedule) from a credit-delta feed (``security, curve, cr01_par``)."""
-    s = _prefix(sens, trades, cpty)
+    s = _prefix(sens, trades, cpty, name="credit_delta", counters=counters)
     cols = dict(_common(s))
     cols.update({
         "vol_group_agg": F.lit(""), "currency_pair": F.lit(""),
@@ -163,11 +169,11 @@ def credit_delta(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFr
 # ---------------------------------------------------------------- E5 / E6 FX delta + vega
 
 def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
-            legacy_exposure: bool = False) -> DataFrame:
+            legacy_exposure: bool = False, counters: dict | None = None) -> DataFrame:
     """E5 (SIMM) + E6 (Schedule) from an FX feed (``c1, c2, pair, delta, vega,
     exposure_pl, exposure_opt``); each row gives a delta leg and a vega leg (U4),
     and in the Schedule model each leg gives PV and Notional."""
-    s = _prefix(sens, trades, cpty)
+    s = _prefix(sens, trades, cpty, name="fx_risk", counters=counters)
     cols = dict(_common(s))
     cols.update({
         "vol_group_agg": F.lit(""), "issuer_code": F.lit(""), "currency_pair": F.col("pair"),
@@ -186,13 +192,14 @@ def fx_risk(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
 
 # ---------------------------------------------------------------- E7 / E8 rates vega
 
-def rates_vega(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame) -> DataFrame:
+def rates_vega(sens: DataFrame, trades: DataFrame, cpty: DataFrame, pl: DataFrame,
+               counters: dict | None = None) -> DataFrame:
     """E7 (SIMM) + E8 (Schedule) from a rates-vega feed (``risk_factor, vol_group,
     option_tenor, underlying_tenor, normal_vega, inflation_vega, yield_vega``; optional
     ``currency, normal_vega_pnl, yield_vega_pnl``). The amount is the three vegas' sum; the P&L amount
     leaves inflation out. The P&L join (with the trade date) runs before the counterparty join, so a
     row needs P&L in both models."""
-    s = _prefix(sens, trades, cpty, pl=pl)
+    s = _prefix(sens, trades, cpty, pl=pl, name="rates_vega", counters=counters)
     cols = dict(_common(s))
     cols.update({
         "trade_date": F.col("trade_date"),

@@ -61,32 +61,34 @@ class MarginInputs:
     rates_vega: DataFrame | None = None
 
 
-def build_feeds(inp: MarginInputs) -> DataFrame:
+def build_feeds(inp: MarginInputs, counters: dict | None = None) -> DataFrame:
     """E1-E8 for every feed present, union-all by name."""
     parts = []
     args = (inp.trades, inp.counterparties, inp.pl)
     if inp.rates_delta is not None:
-        parts.append(feeds.rates_delta(inp.rates_delta, *args))
+        parts.append(feeds.rates_delta(inp.rates_delta, *args, counters=counters))
     if inp.credit_delta is not None:
-        parts.append(feeds.credit_delta(inp.credit_delta, *args))
+        parts.append(feeds.credit_delta(inp.credit_delta, *args, counters=counters))
     if inp.fx is not None:
-        parts.append(feeds.fx_risk(inp.fx, *args))
+        parts.append(feeds.fx_risk(inp.fx, *args, counters=counters))
     if inp.rates_vega is not None:
-        parts.append(feeds.rates_vega(inp.rates_vega, *args))
+        parts.append(feeds.rates_vega(inp.rates_vega, *args, counters=counters))
     return reshape.union_feeds(*parts)
 
 
-def resolve_products(unified: DataFrame, inp: MarginInputs, materialize_mode: str = "table") -> DataFrame:
+def resolve_products(unified: DataFrame, inp: MarginInputs, materialize_mode: str = "table",
+                     counters: dict | None = None) -> DataFrame:
     """J7 -> F1 -> F6 -> J10 / J8 -> U6 -> J11 -> J12 -> F16.
 
     The in-scope rows are stored once: the strategy rows, their dominant product and
     the plain rows all read them, so the feeds' joins and dedups run once.
     """
-    u = materialize(filters.in_scope(joins.attach_product(unified, inp.trade_product)), materialize_mode)
+    u = filters.in_scope(joins.attach_product(unified, inp.trade_product))
+    u = materialize(observe_counts(u, "with_product", counters, ("strategy",)), materialize_mode)
     with_s, without_s = filters.split_strategy(u)
-    a = products.products_strategy(with_s, inp.products).unionByName(
-        products.products_plain(without_s, inp.products))
-    a = joins.keep_portfolios(a, inp.portfolios)
+    a = observe_counts(products.products_strategy(with_s, inp.products), "strategy_rows", counters).unionByName(
+        observe_counts(products.products_plain(without_s, inp.products), "plain_rows", counters))
+    a = observe_counts(joins.keep_portfolios(a, inp.portfolios), "in_portfolios", counters, ("trade_id",))
     a = joins.attach_match_id(a, inp.match_ids)
     return a.withColumns({"post_regulations": F.lit(POST_REGULATIONS),
                           "collect_regulations": F.lit(COLLECT_REGULATIONS)})
@@ -130,10 +132,10 @@ def margin_table(inp: MarginInputs, app_id: str = "marginflow", strict_vol: bool
     ``counters`` (a dict) collects G11 row counts as ``Observation`` objects,
     filled by the jobs that run anyway.
     """
-    unified = observe_counts(build_feeds(inp), "unified_feeds", counters)
-    a = materialize(observe_counts(resolve_products(unified, inp, materialize_mode), "resolved", counters), materialize_mode)
+    unified = observe_counts(build_feeds(inp, counters), "unified_feeds", counters, ("trade_id",))
+    a = materialize(observe_counts(resolve_products(unified, inp, materialize_mode, counters), "resolved", counters), materialize_mode)
     simm, sched = filters.split_model(a)
     simm_out = observe_counts(simm_rows(simm, inp, strict_vol), "simm_rows", counters)
     out = reshape.union_feeds(simm_out, observe_counts(schedule_rows(sched), "schedule_rows", counters))
     out = out.withColumn("type_simm", F.lit(app_id)).withColumnRenamed("counterparty", "counterparty_mx")
-    return out.select(*OUTPUT)
+    return observe_counts(out.select(*OUTPUT), "output", counters)

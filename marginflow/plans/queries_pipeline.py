@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedup, filters, products
+from ..operators.observe import read_counters
+from ..session import materialize
 from ..sources import fixtures as fx
 from ..sources.scan import read_table
 from . import feeds
@@ -390,3 +392,36 @@ def q_margin_rows(spark, d):
                     "risk_type", "qualifier", "bucket", "underlying_maturity", "product_class",
                     "dominant_product", r4("amount").alias("amount"), r4("amount_cup0").alias("amount_cup0"),
                     r4("pnlvar_delta_ir").alias("pnlvar_delta_ir"), r4("pnlvar_vega_ir").alias("pnlvar_vega_ir"))
+
+
+# ---------------------------------------------------------------- counters
+
+def _counters_sql() -> str:
+    def point(name: str, rows: str, null: str = "false") -> str:
+        return f"select '{name}' as point, count(*) as n_rows, count(*) filter (where {null}) as n_null_keys from {rows}"
+
+    unpaired = "counterparty is null or entity is null or booked_date is null"
+    parts = []
+    for feed, src, cte in (("rates_delta", "rates_in", "rd"), ("credit_delta", "credit_in", "cr"), ("fx_risk", "fx_in", "fx"),
+                           ("rates_vega", "vega_in", "vg")):
+        parts += [point(f"{feed}.input", src, "entity is null or source_system is null"),
+                  point(f"{feed}.in_scope", f"(select * from {src} where entity = '0182' and source_system = 'front3')",
+                        "trade_id is null or portfolio is null"),
+                  point(f"{feed}.traded", f"{cte}_t", unpaired), point(f"{feed}.in_perimeter", f"{cte}_p")]
+    parts += [
+        point("rates_vega.priced", "(select t.* from vg_t t join pl_s p on t.trade_id = p.trade_id and t.portfolio = p.portfolio)", unpaired),
+        point("unified_feeds", "unified", "trade_id is null"), point("with_product", "u1", "strategy is null"),
+        point("strategy_rows", "(select * from u2 where strategy like 'ST-%')"),
+        point("plain_rows", "(select * from u2 where not (strategy like 'ST-%'))"),
+        point("in_portfolios", "(select * from u2 where portfolio in (select portfolio from portfolios where excluded = '0'))", "trade_id is null"),
+        point("resolved", "u3"), point("simm_rows", "(select * from all_out where im_model = 'SIMM')"),
+        point("schedule_rows", "(select * from all_out where im_model = 'Schedule')"), point("output", "all_out")]
+    return _MARGIN_BODY + "\n" + " union all ".join(parts)
+
+
+@query("run_counters", _counters_sql())
+def q_run_counters(spark, d):
+    """Rows and null keys at 26 points of a run, counted by the jobs that write its tables."""
+    counters: dict = {}
+    materialize(margin_table(margin_inputs(spark, d), counters=counters))
+    return spark.createDataFrame(read_counters(counters), "point string, n_rows long, n_null_keys long")
