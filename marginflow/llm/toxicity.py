@@ -29,7 +29,9 @@ from ._sample import labelled_sample
 from ._text import blocks, utf8
 
 FIT_ROWS = {0: 4000, 1: 2000}
-FIT_CHARS = 50_000
+FIT_CHARS = 50_000       # labelled texts beyond are scored, but not fitted on
+FIT_WINDOWS = 60_000     # ordinary windows, drawn from all of the fit rows, that set the chance dictionary and the threshold
+DICT_WINDOWS = 40_000    # ... of which so many train the ordinary dictionary
 WINDOW = 64          # bytes; so few literals stay uncompressed, and gains count whole bytes
 LEVEL = 6
 GRAM = 5
@@ -164,9 +166,9 @@ def fit_rows(rows: list[tuple[str, int, float]]) -> Model:
     if not toxic or not ordinary:
         return model
     plain = [w for t in ordinary for w in windows(t)]
-    plain = [plain[i] for i in np.random.default_rng(0).permutation(len(plain))[:60_000]]
+    plain = [plain[i] for i in np.random.default_rng(0).permutation(len(plain))[:FIT_WINDOWS]]
     grams = _telling_grams(toxic, ordinary)
-    model.ordinary = _train(plain[:40_000], DICT_ORDINARY, 64, 8)
+    model.ordinary = _train(plain[:DICT_WINDOWS], DICT_ORDINARY, 64, 8)
     model.toxic = _train([_passages(t, grams) for t in toxic], DICT_TOXIC, 16, 6) if len(grams) else b""
     first = gains(model.compressors(), plain)
     chance = [w for w, g in zip(plain, first) if g >= 3]
@@ -192,7 +194,7 @@ def fit_rows(rows: list[tuple[str, int, float]]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic 0/1): on a sample bounded by FIT_ROWS and FIT_CHARS."""
+    """Fit on ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic 0/1): on a sample bounded by FIT_ROWS, FIT_CHARS and, of its ordinary windows, FIT_WINDOWS."""
     sample = labelled_sample(docs, labels, "toxic", FIT_ROWS).where(F.length("text") <= FIT_CHARS)
     return fit_rows(sorted(tuple(r) for r in sample.select("text", "toxic", "weight").collect()))
 

@@ -83,3 +83,64 @@ def test_utf8_of_slices():
     import pyarrow as pa
     data, offsets = _text.utf8(pa.array(["ab", None, "", "é"]).slice(1))
     assert [data[a:b].tobytes() for a, b in zip(offsets, offsets[1:])] == [b"", b"", "é".encode()]
+
+
+def plain_statistics(text):
+    """The statistics of ``quality_rules``, character by character."""
+    letters = lambda c: c.isascii() and c.islower() or ord(c) > 127
+    # a capital of the Latin-1 letters (two bytes from C3 80 to C3 9E) counts as one
+    capital = lambda c: "A" <= c <= "Z" or "\u00c0" <= c <= "\u00de"
+    chars = len(text)
+    words = len(text.encode().split())
+    lines = text.count("\n") + (chars > 0)
+    raw = text.encode()
+    c, w, n = max(chars, 1), max(words, 1), max(lines, 1)
+    runs = sum(letters(x) and (i == 0 or not letters(text[i - 1])) for i, x in enumerate(text))
+    return dict(zip(quality_rules.STATISTICS, (
+        chars, words, chars / w, sum(map(capital, text)) / c, sum("0" <= x <= "9" for x in text) / c,
+        sum(x in "#$%&*@^~_=+<>{}[]\\|" for x in text) / c, sum(a == b == "!" for a, b in zip(text, text[1:])) / w,
+        sum(x in ".,;:?" for x in text) / w, words / n,
+        sum(x in ".!?" and (i + 1 == chars or text[i + 1] == "\n") for i, x in enumerate(text)) / n,
+        sum(a == b and b > 32 for a, b in zip(raw, raw[1:])) / c, runs / w)))
+
+
+def test_quality_scores_equal_plain_rules(spark, sf):
+    """Every text's score, from its characters and the fitted rules one by one."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality_rules.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert len(model.rules) > 2
+    for r in quality_rules.score(docs, model).collect():
+        s = plain_statistics(r.text or "")
+        z = model.intercept + sum(w for rule, w in model.rules
+                                  if all(s[n] <= b if op == "<=" else s[n] > b for n, op, b in rule))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9), r.doc_id
+
+
+def test_toxicity_scores_equal_plain_compression(spark, sf):
+    """Every text's score, from each window's two compressed lengths."""
+    import zstandard
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def length(window, dictionary):
+        given = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        given.precompute_compress(level=toxicity.LEVEL)
+        made = zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=given, write_content_size=False, write_checksum=False,
+                                        write_dict_id=False)
+        return len(made.compress(window))
+
+    known = {}
+    rows = sorted(toxicity.score(docs, model).collect(), key=lambda r: len(r.text or ""))[:60]
+    for r in rows:
+        saved = []
+        for w in toxicity.windows((" " + " ".join((r.text or "").lower().split()) + " ").encode()):
+            if w not in known:
+                known[w] = length(w, model.ordinary) - length(w, model.toxic + model.ordinary)
+            saved.append(known[w])
+        top = sorted(saved)[-3:] or [0]
+        n = max(1, len(saved))
+        high = sum(g >= model.threshold for g in saved)
+        x = [top[-1], sum(top) / len(top), sum(max(g, 0) for g in saved) / n, sum(g >= model.threshold - 1 for g in saved) / n,
+             high / n, np.log1p(high)]
+        z = model.weights[0] + sum((v - m) / s * b for v, m, s, b in zip(x, model.mean, model.spread, model.weights[1:]))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -40, 40))), abs=1e-9), r.doc_id
