@@ -33,6 +33,7 @@ Q = 8
 SEGMENT = 96
 EDIT_RATE = 0.1
 BLOCK_BYTES = 2 << 20
+ROUGH = 1 << 18    # counters of a first, rough count
 PIECE = 1 << 20    # common q-grams (of a text's place and a segment) held at once
 
 _PLAIN = np.full(256, 32, np.uint8)
@@ -148,20 +149,24 @@ class Segments:
             which = np.repeat(low - np.cumsum(t) + t, t) + np.arange(t.sum())
             return np.repeat(place[piece], t), self.at[which], np.repeat(row_of[piece], t) * n_segments + self.segment[which]
 
-        # a row and segment with too few common q-grams on any diagonals need no bands
-        counted = [np.unique(met(p)[2], return_counts=True) for p in pieces]
-        pair, which = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
-        count = np.bincount(which, np.concatenate([c[1] for c in counted]))
-        rich = pair[count >= self.least[pair % n_segments]]
-        if not len(rich):
-            return []
+        # a row and segment with too few common q-grams on any diagonals need no bands: counts by a part of the
+        # pair's bits, never too low, rule most out, exact counts the rest
+        one = met(pieces[0]) if len(pieces) == 1 else None
+        rough = np.zeros(ROUGH, np.int64)
+        for p in pieces:
+            rough += np.bincount((one or met(p))[2] % ROUGH, minlength=ROUGH)
 
         def kept(piece: slice) -> tuple[np.ndarray, ...]:
-            found = met(piece)
-            at = np.minimum(np.searchsorted(rich, found[2]), len(rich) - 1)
-            return tuple(x[rich[at] == found[2]] for x in found)
+            found = one or met(piece)
+            may = rough[found[2] % ROUGH] >= self.least[found[2] % n_segments]
+            return tuple(x[may] for x in found)
 
         place, at, pair = (np.concatenate(x) for x in zip(*map(kept, pieces)))
+        _, which, count = np.unique(pair, return_inverse=True, return_counts=True)
+        rich = count[which] >= self.least[pair % n_segments]
+        if not rich.any():
+            return []
+        place, at, pair = place[rich], at[rich], pair[rich]
         row, seg = np.divmod(pair, n_segments)
         diagonal = place - bounds[row] - at
         width = self.width[seg]
