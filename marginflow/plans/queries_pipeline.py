@@ -109,8 +109,8 @@ def _prefix_sql(name: str, src: str, with_pl: bool = False) -> str:
    and s.booked_date >= c.filter_date)"""
 
 
-def _canon_sql(src: str, over: dict[str, str], where: str = "true") -> str:
-    """Distinct canonical rows (G5) of ``src`` with per-column SQL overrides."""
+def _canon_sql(src: str, over: dict[str, str], where: str = "true", kept: str = "") -> str:
+    """Distinct canonical rows (G5) of ``src`` with per-column SQL overrides; ``kept``: an aggregate of equal rows."""
     base = {
         "entity": "entity", "portfolio": "portfolio", "trade_id": "trade_id",
         "trade_date": "cast(null as date)", "vol_group_agg": "''", "short_name": "short_name",
@@ -128,6 +128,8 @@ def _canon_sql(src: str, over: dict[str, str], where: str = "true") -> str:
     }
     base.update(over)
     cols = ", ".join(f"{v} as {k}" for k, v in base.items())
+    if kept:
+        return f"(select {cols}, {kept} from {src} where {where} group by all)"
     return f"(select distinct {cols} from {src} where {where})"
 
 
@@ -224,6 +226,28 @@ def q_fx_risk(spark, d):
     return _feed_query_cols(feeds.fx_risk(fx_in(spark, d), *_args(spark, d)))
 
 
+_EXPOSURE_SQL = f"""with {_SCOPE_SQL}, {_ADAPT_SQL}, {_FX_SQL},
+entered as (select *, case when c1 is null and c2 is null then [{{'currency': '', 'amount': cast(0 as decimal(38,18))}}]
+    when c2 is null then [{{'currency': c1, 'amount': cast(exposure_pl as decimal(38,18))}}]
+    when c1 is null or c1 = c2 then [{{'currency': c2, 'amount': cast(exposure_opt as decimal(38,18))}}]
+    else [{{'currency': c1, 'amount': cast(exposure_pl as decimal(38,18))}}, {{'currency': c2, 'amount': cast(exposure_opt as decimal(38,18))}}]
+    end as entries from fx_l where risk_type = 'Risk_FX'),
+named as (select *, list_aggregate(list_transform(entries, lambda e: '"' || e.currency || '":' || cast(e.amount as varchar)),
+    'string_agg', ',') as js from entered),
+exposed as {_canon_sql('named', dict(_FX_OVER, im_model="'SIMM'", risk_type="risk_type", amount="amount"), kept="arg_min(entries, js) as entries")},
+flat as (select trade_id, portfolio, counterparty, qualifier, amount, unnest(entries) as e from exposed)
+select trade_id, portfolio, counterparty, qualifier, cast(round(amount, 4) as double) as amount,
+       e.currency as currency, cast(round(e.amount, 4) as double) as exposure from flat"""
+
+
+@query("fx_exposures", _EXPOSURE_SQL)
+def q_fx_exposures(spark, d):
+    """The exposure map of the FX delta rows, one row per currency; of equal rows the map that sorts first."""
+    rows = feeds.fx_risk(fx_in(spark, d), *_args(spark, d)).where("im_model = 'SIMM' and risk_type = 'Risk_FX'")
+    return rows.select("trade_id", "portfolio", "counterparty", "qualifier", r4("amount").alias("amount"),
+                       F.explode("pnlvar_delta_fx").alias("currency", "exposure")).withColumn("exposure", r4("exposure"))
+
+
 @query("rates_vega", _feed_query_sql("vg_out", _VG_SQL))
 def q_rates_vega(spark, d):
     return _feed_query_cols(feeds.rates_vega(vega_in(spark, d), *_args(spark, d)))
