@@ -4,7 +4,8 @@
 every due period of a log in one plan: each feed meets the (day, load) pairs
 that are due in a semi join, and the day becomes part of the keys that the
 margin table joins and groups by, so each day sees its own partition of every
-daily input. Neither brings periods to the driver. ``commit_run`` publishes both sinks of a run.
+daily input. Neither brings periods to the driver. ``run_due`` is the
+job around it: ``commit_run`` publishes both sinks, and scratch tables go.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import arrival
-from ..session import materialize, shared_path
+from ..session import materialize, scratch_tables, shared_path
 from ..sources.scan import PARTITION_KEYS, load_day
 from ..sources.sinks import publish, stage_append, stage_partitions
 from .pipeline import MarginInputs, margin_table
@@ -144,4 +145,19 @@ def commit_run(out: Mapping[str, DataFrame], margin_path: str, log_path: str, fa
     for k, (source, target, partitions) in enumerate(staged):
         if k and fail_after_margin:
             fail_after_margin()
-        publish(spark, source, target, replace_partitions=partitions)
+        if partitions or not spark.read.parquet(source).isEmpty():
+            publish(spark, source, target, replace_partitions=partitions)
+
+
+def run_due(tagged: DataFrame, masks: Mapping[str, Sequence[str]], inputs: MarginInputs | None, app_id: str, now: dt.datetime,
+            margin_path: str, log_path: str, **options) -> None:
+    """The whole job: build every due period, publish the margin partitions, then record the files (A2 -> A3 -> E9 -> A4).
+
+    ``inputs`` None: the load-only run, which records the files of due loads and builds nothing. Nothing due: nothing
+    is published. Tables and staging folders made on the way are removed, also after a failure. ``options`` go to ``gated_margin``.
+    """
+    with scratch_tables(tagged.sparkSession):
+        out = load_only(tagged, masks, app_id, now)
+        if inputs is not None:
+            out["margin"] = gated_margin(tagged, masks, inputs, app_id, **options)
+        commit_run(out, margin_path, log_path)

@@ -10,7 +10,7 @@ from marginflow.operators import arrival
 from marginflow.plans import queries_run as run
 from marginflow.plans import queries_pipeline as pipe
 from marginflow.plans.queries_arrival import APP_ID, NOW, _tagged
-from marginflow.plans.runner import commit_run, due_days, due_loads, gated_margin, gated_run, load_only, on_day, on_days
+from marginflow.plans.runner import commit_run, due_days, due_loads, gated_margin, gated_run, load_only, on_day, on_days, run_due
 from marginflow.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -129,3 +129,25 @@ def test_scratch_tables_go(spark):
         assert session.materialize(spark.range(5)).count() == 5
         assert set(glob.glob(f"{root}/*/*")) - before
     assert set(glob.glob(f"{root}/*/*")) == before
+
+
+def test_the_job_runs_once_and_leaves_no_scratch(spark, gate, scratch):
+    """The first run publishes margin partitions and log; the second, with that log, finds nothing due and changes nothing."""
+    root = session.ensure_checkpoint_dir(spark)
+    margin, log, columns = f"{scratch}/margin", f"{scratch}/log", ["path", "app_id", "loaded_at", "status"]
+    inputs = run.daily_inputs(spark, SF_SMALL)
+    before = set(glob.glob(f"{root}/*/*"))
+    run_due(gate, run.GATE_MASKS, inputs, APP_ID, NOW, margin, log)
+    assert set(glob.glob(f"{root}/*/*")) == before
+    days = {(r.year, r.month, r.day) for r in spark.read.parquet(margin).select("year", "month", "day").distinct().collect()}
+    due = {(r.year, r.month, r.day) for r in due_days(gate, run.GATE_MASKS, APP_ID).collect()}
+    assert days and days <= due
+    recorded = spark.read.parquet(log)
+    assert recorded.count() == load_only(gate, run.GATE_MASKS, APP_ID, NOW)["file_log"].count()
+    files = set(glob.glob(f"{scratch}/**/*.parquet", recursive=True))
+    after = session.materialize(arrival.tag_file_sets(
+        run.gate_log(spark, SF_SMALL).select(*columns).unionByName(recorded.select(*columns)), run.GATE_MASKS))
+    run_due(after, run.GATE_MASKS, inputs, APP_ID, NOW, margin, log)
+    assert set(glob.glob(f"{scratch}/**/*.parquet", recursive=True)) == files
+    run_due(gate, run.GATE_MASKS, None, APP_ID, NOW, f"{scratch}/none", f"{scratch}/only")
+    assert not os.path.exists(f"{scratch}/none") and spark.read.parquet(f"{scratch}/only").count() == recorded.count()
