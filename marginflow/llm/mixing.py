@@ -73,15 +73,18 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     """
     total = cells.agg(F.coalesce(F.sum("m_tokens"), F.lit(0.0))).first()[0]
     fitted = cells.withColumn("factor", F.lit(1.0))
+    for dim, target in targets.items():
+        fitted = fitted.join(target.select(dim, F.col("target").alias(f"to_{dim}")), dim, "left")
+    fitted = materialize(fitted, files=CELL_FILES)
+    # each step is written: the next reads it twice, and nested steps would double the plan each time
     for _ in range(sweeps):
-        for dim, target in targets.items():
+        for dim in targets:
             now = fitted.groupBy(dim).agg(F.sum(F.col("m_tokens") * F.col("factor")).alias("now"))
-            ratio = (now.join(target, dim, "left")
-                     .select(dim, F.when((F.col("now") > 0) & F.col("target").isNotNull(),
-                                         F.col("target") * F.lit(total) / F.col("now")).otherwise(1.0).alias("ratio")))
-            fitted = fitted.join(ratio, dim).withColumn("factor", F.col("factor") * F.col("ratio")).drop("ratio")
-        fitted = materialize(fitted, files=CELL_FILES)
-    return fitted
+            ratio = F.when((F.col("now") > 0) & F.col(f"to_{dim}").isNotNull(),
+                           F.col(f"to_{dim}") * F.lit(total) / F.col("now")).otherwise(1.0)
+            fitted = materialize(fitted.join(now, dim).withColumn("factor", F.col("factor") * ratio).drop("now"),
+                                 files=CELL_FILES)
+    return fitted.drop(*(f"to_{dim}" for dim in targets))
 
 
 def budget_rate(cells: DataFrame, budget: float) -> float:
