@@ -7,6 +7,14 @@ bucket the register keeps the count of leading zeros (4 bits) and the next 4.
 Documents with equal sets become one node. Registers, folded to half their
 number, form ``BANDS`` bands; nodes sharing a band meet in a bucket.
 
+Few shingles leave most registers of a band empty, and bands with one or two
+filled ones agree by chance, more often the more nodes there are. Such bands
+are left out; sets of up to ``SMALL`` shingles (and those that one of them may
+link with) meet by shingles instead: in any common order of all shingles, two
+sets of n and m shingles with similarity j share one of the first
+n - ceil(j n) + 1 of the one and m - ceil(j m) + 1 of the other. The order puts
+the most frequent shingles last; it decides who meets, not who links.
+
 Candidates never are all pairs of a bucket:
 
 1. In each bucket every node meets the bucket's most central node (the one
@@ -19,7 +27,9 @@ Candidates never are all pairs of a bucket:
    ``SLACK`` standard deviations of the threshold leave the task to be
    confirmed on full sets. No cap on partners, candidates or buckets.
 
-A pair at the threshold shares no band with probability (1 - 0.8**6)**42 < 3e-6.
+A pair at the threshold that meets by bands alone shares none with probability
+(1 - 0.8**6)**42 < 3e-6 where all registers are filled, and less than 1e-6 at
+``SMALL`` shingles, bands of less than ``FILLED`` registers left out.
 """
 
 from __future__ import annotations
@@ -41,6 +51,9 @@ BANDS, BAND_ROWS = 42, 6
 ZEROS = 14        # leading zeros are counted up to this
 SLACK = 4.0       # standard deviations of the estimate below the threshold
 BLOCK = 2048      # nodes of a bucket compared at once
+SMALL = 160       # shingles up to which sets meet by shingles
+FILLED = 3        # registers that a band has at least, at thresholds of 80 percent and more
+FREQUENT, FREQUENT_FROM = 50_000, 16   # shingles put last: the most frequent of those in so many small sets
 BROADCAST_IDS = 1_000_000   # ids that may be broadcast (8 MB); more of them are joined by shuffle
 
 _BUCKET = np.arange(REGISTERS, dtype=U64) << U64(55)
@@ -62,12 +75,17 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One key per row of registers and band; 0 where the band has no hash."""
+def small_limit(percent: int) -> int:
+    """The shingles up to which a set may link with one of ``SMALL`` shingles."""
+    return SMALL * 100 // max(1, percent)
+
+
+def band_keys(regs: np.ndarray, filled: int = 1) -> np.ndarray:
+    """One key per row of registers and band; 0 where the band has less than ``filled`` registers with a hash."""
     folded = np.maximum(regs[:, 0::2], regs[:, 1::2])[:, :BANDS * BAND_ROWS].astype(U64)
     parts = folded.reshape(len(regs), BANDS, BAND_ROWS)
     keys = mix((parts * seeded(BAND_ROWS, 9)).sum(2) + seeded(BANDS, 11)) | U64(1)
-    keys[(parts == 0).all(2)] = 0
+    keys[(parts != 0).sum(2) < filled] = 0
     return keys
 
 
@@ -127,9 +145,10 @@ def _names(sets: list[np.ndarray]) -> pa.Array:
     return pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], pa.int64())
 
 
-def _signer(k: int):
+def _signer(k: int, percent: int):
+    limit, filled = small_limit(percent), FILLED if percent >= 80 else 1
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
-                        ("regs", pa.binary()), ("bands", pa.list_(pa.int64()))])
+                        ("regs", pa.binary()), ("bands", pa.list_(pa.int64())), ("small", pa.list_(pa.int64()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,13 +157,15 @@ def _signer(k: int):
                 for i, s in enumerate(sets):
                     if len(s):
                         regs[i] = registers(s)
-                keys = band_keys(regs)
+                keys = band_keys(regs, filled)
+                keys[[len(s) <= SMALL for s in sets]] = 0
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(lo, hi - lo),
                     pa.array([len(s) for s in sets], pa.int64()),
                     _names(sets),
                     pa.array([r.tobytes() for r in regs], pa.binary()),
                     pa.array([x[x != 0].view(np.int64) for x in keys], pa.list_(pa.int64())),
+                    pa.array([s.view(np.int64) if 0 < len(s) <= limit else None for s in sets], pa.list_(pa.int64())),
                 ], schema=schema)
     return sign
 
@@ -153,10 +174,45 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
 
 
-def signatures(docs: DataFrame, k: int = 4) -> DataFrame:
-    """doc_id, n_shingles, node (the set's 64-bit name; null: no words), regs, bands."""
+def signatures(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, node (the set's 64-bit name; null: no words), regs, bands (of sets beyond ``SMALL``
+    shingles), small (the shingles of sets up to ``small_limit``)."""
     return _rows(docs).mapInArrow(
-        _signer(k), "doc_id long, n_shingles long, node long, regs binary, bands array<long>")
+        _signer(k, percent), "doc_id long, n_shingles long, node long, regs binary, bands array<long>, small array<long>")
+
+
+def frequent_shingles(nodes: DataFrame) -> np.ndarray:
+    """The most frequent shingles of small sets, the most frequent last: ``FREQUENT`` of them at most."""
+    counted = (nodes.select(F.explode("small").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+               .where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "key").limit(FREQUENT))
+    return np.array([r.key for r in counted.collect()][::-1], np.int64)
+
+
+def _prefixer(percent: int, last: np.ndarray):
+    """The keys by which small sets meet: the first shingles, ``last`` being put last."""
+    by_value = np.argsort(last)
+    values = last[by_value]
+
+    def first(found: np.ndarray) -> np.ndarray:
+        keep = len(found) - -(-percent * len(found) // 100) + 1
+        at = np.minimum(np.searchsorted(values, found), max(0, len(values) - 1))
+        rank = np.where(values[at] == found, by_value[at] + 1, 0) if len(values) else np.zeros(len(found), np.int64)
+        return found[np.lexsort((found, rank))[:keep]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat, ends = b.column("small").flatten().to_numpy(zero_copy_only=False), np.cumsum(b.column("small").value_lengths().to_numpy(zero_copy_only=False))
+            keys = [first(x) for x in np.split(flat, ends)[:-1]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys or [flat]), pa.int64()),
+                                              pa.array(np.repeat(b.column("node").to_numpy(), [len(x) for x in keys]), pa.int64())], ["key", "node"])
+    return run
+
+
+def meeting_keys(nodes: DataFrame, percent: int) -> DataFrame:
+    """key, node: the buckets of each node; pairs at the threshold meet in one."""
+    small = nodes.where("small is not null").select("node", "small")
+    return (nodes.select(F.explode("bands").alias("key"), "node")
+            .unionByName(small.mapInArrow(_prefixer(percent, frequent_shingles(small)), "key long, node long")))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -176,6 +232,8 @@ def _estimator(percent: int):
 
 def _crosser(percent: int):
     """Compares the nodes of a bucket's block pair; rows come sorted by key, left, right, side."""
+    filled = FILLED if percent >= 80 else 1
+
     def compare(key: int, regs: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, labels: np.ndarray,
                 side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         one_block = not side.any()
@@ -187,9 +245,9 @@ def _crosser(percent: int):
                 near = others[hopeful(regs[i][None, :], regs[others], sizes[i], sizes[others], percent)]
                 if len(near):
                     # a pair that meets in several bands is told by the first of them
-                    mine, theirs = band_keys(regs[i][None, :]).view(np.int64), band_keys(regs[near]).view(np.int64)
-                    same = (mine == theirs) & (mine != 0)
-                    near = near[mine[0][same.argmax(1)] == key]
+                    mine, theirs = band_keys(regs[i][None, :], filled).view(np.int64), band_keys(regs[near], filled).view(np.int64)
+                    same = (mine == theirs) & (mine != 0) & (np.minimum(sizes[i], sizes[near]) > SMALL)[:, None]
+                    near = near[~same.any(1) | (mine[0][same.argmax(1)] == key)]
                     out_a.append(np.full(len(near), nodes[i]))
                     out_b.append(nodes[near])
         none = np.zeros(0, np.int64)
@@ -287,13 +345,13 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     repeated rows share a component; rows that repeat a doc_id each get a row,
     by their own text. Other columns are ignored; an empty table gives no rows.
     """
-    signed = materialize(signatures(docs, k))
+    signed = materialize(signatures(docs, k, percent))
     reps = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    nodes = materialize(signed.where("node is not null").select("node", F.col("n_shingles").alias("n"), "regs", "bands")
+    nodes = materialize(signed.where("node is not null").select("node", F.col("n_shingles").alias("n"), "regs", "bands", "small")
                         .dropDuplicates(["node"]))
     sketches = nodes.select("node", "n", "regs")
 
-    exploded = nodes.select(F.explode("bands").alias("key"), "node")
+    exploded = meeting_keys(nodes, percent)
     crowded = exploded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     buckets = materialize(exploded.join(crowded, "key"))
     central = buckets.groupBy("node").agg(F.sum("size").alias("central"))
@@ -320,7 +378,9 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
              .join(sketches, "node"))
     crossing = (dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "side")
                 .select("key", "left", "right", "side", "node", "label", "n", "regs")
-                .mapInArrow(_crosser(percent), _PAIR))
+                .mapInArrow(_crosser(percent), _PAIR)
+                .select(F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b"))
+                .distinct())   # small sets may meet by several shingles
     more = confirm(materialize(crossing), docs, reps, k, percent)
     final = components(links.union(more))
 

@@ -100,6 +100,34 @@ def test_blocks_of_large_buckets(spark, make, monkeypatch):
     check(rows, docs)
 
 
+def crowded(make, docs):
+    """Sizes of the buckets of more than one node."""
+    nodes = N.signatures(make([(i, t, None, None, None) for i, t in docs.items()])).where("node is not null").dropDuplicates(["node"])
+    return sorted(r["count"] for r in N.meeting_keys(nodes, 80).groupBy("key").count().where("count > 1").collect())
+
+
+def test_unrelated_texts_do_not_meet_by_chance(make):
+    """Short texts once met wherever one register of a band agreed, in numbers that grew with their square."""
+    docs = family(3, 800, 1, words=40, changes=(0, 0)) | {1000 + i: t for i, t in family(4, 100, 1, words=190, changes=(0, 0)).items()}
+    assert sum(crowded(make, docs)) < 20
+
+
+def test_frequent_shingles_come_last(make):
+    """A line that all texts share brings no two of them together."""
+    shared = " ".join(f"s{i}" for i in range(8))
+    docs = {i: f"{t} {shared}" for i, t in family(6, 200, 1, words=60, changes=(0, 0)).items()}
+    assert sum(crowded(make, docs)) < 20
+
+
+def test_sizes_about_the_limit_of_small_sets(make):
+    """Pairs of which one, both or none are small sets; the families are linked as all pairs say."""
+    docs = {}
+    for words in (30, 130, 164, 175, 200, 206, 230):
+        docs |= {words * 1000 + i: t for i, t in family(words, 4, 8, words=words, changes=(0, max(3, words // 40))).items()}
+        docs |= {words * 1000 + 500 + i: " ".join(t.split()[:words * 17 // 20]) for i, t in family(words, 4, 8, words=words, changes=(0, 1)).items()}
+    check(N.near_duplicates(make([(i, t, None, None, None) for i, t in docs.items()])).collect(), docs)
+
+
 def test_odd_rows(make):
     rows = N.near_duplicates(make(ODD).withColumnRenamed("lang", "node").withColumnRenamed("source", "label")).collect()
     got = defaultdict(list)
