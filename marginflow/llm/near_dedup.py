@@ -56,6 +56,7 @@ FILLED = 3        # registers that a band has at least, at thresholds of 80 perc
 FREQUENT, FREQUENT_FROM = 50_000, 16   # shingles put last: the most frequent of those in so many small sets
 BROADCAST_IDS = 1_000_000   # ids that may be broadcast (8 MB); more of them are joined by shuffle
 
+_LAST = np.iinfo(np.int64).max   # no common shingle: two hashes of other kinds are equal
 _BUCKET = np.arange(REGISTERS, dtype=U64) << U64(55)
 _LEAD = np.array([min(ZEROS, 15 - int(x).bit_length()) for x in range(1 << 15)], U64)
 
@@ -202,17 +203,21 @@ def _prefixer(percent: int, last: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat, ends = b.column("small").flatten().to_numpy(zero_copy_only=False), np.cumsum(b.column("small").value_lengths().to_numpy(zero_copy_only=False))
-            keys = [first(x) for x in np.split(flat, ends)[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys or [flat]), pa.int64()),
-                                              pa.array(np.repeat(b.column("node").to_numpy(), [len(x) for x in keys]), pa.int64())], ["key", "node"])
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([first(x) for x in np.split(flat, ends)[:-1]], pa.list_(pa.int64()))],
+                                             ["node", "first"])
     return run
 
 
-def meeting_keys(nodes: DataFrame, percent: int) -> DataFrame:
-    """key, node: the buckets of each node; pairs at the threshold meet in one."""
+def first_shingles(nodes: DataFrame, percent: int) -> DataFrame:
+    """node, first: the shingles by which small sets meet."""
     small = nodes.where("small is not null").select("node", "small")
+    return small.mapInArrow(_prefixer(percent, frequent_shingles(small)), "node long, first array<long>")
+
+
+def meeting_keys(nodes: DataFrame, first: DataFrame) -> DataFrame:
+    """key, node: the buckets of each node; pairs at the threshold meet in one."""
     return (nodes.select(F.explode("bands").alias("key"), "node")
-            .unionByName(small.mapInArrow(_prefixer(percent, frequent_shingles(small)), "key long, node long")))
+            .unionByName(first.select(F.explode("first").alias("key"), "node")))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -235,7 +240,7 @@ def _crosser(percent: int):
     filled = FILLED if percent >= 80 else 1
 
     def compare(key: int, regs: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, labels: np.ndarray,
-                side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                side: np.ndarray, first: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         one_block = not side.any()
         out_a, out_b = [], []
         for i in np.flatnonzero(side == 0):
@@ -244,10 +249,15 @@ def _crosser(percent: int):
             if len(others):
                 near = others[hopeful(regs[i][None, :], regs[others], sizes[i], sizes[others], percent)]
                 if len(near):
-                    # a pair that meets in several bands is told by the first of them
+                    # a pair that meets in several bands is told by the first of them; one that meets by shingles
+                    # alone, by the least
                     mine, theirs = band_keys(regs[i][None, :], filled).view(np.int64), band_keys(regs[near], filled).view(np.int64)
                     same = (mine == theirs) & (mine != 0) & (np.minimum(sizes[i], sizes[near]) > SMALL)[:, None]
-                    near = near[~same.any(1) | (mine[0][same.argmax(1)] == key)]
+                    by_band = same.any(1)
+                    told = np.where(by_band, mine[0][same.argmax(1)], key)
+                    for x in np.flatnonzero(~by_band):
+                        told[x] = np.intersect1d(first[i], first[near[x]]).min(initial=_LAST)
+                    near = near[(told == key) | (told == _LAST)]
                     out_a.append(np.full(len(near), nodes[i]))
                     out_b.append(nodes[near])
         none = np.zeros(0, np.int64)
@@ -263,7 +273,8 @@ def _crosser(percent: int):
             regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint8).reshape(-1, REGISTERS)
             sizes, nodes = table.column("n").to_numpy(), table.column("node").to_numpy()
             labels, side = table.column("label").to_numpy(), table.column("side").to_numpy()
-            found = [compare(int(key[a]), regs[a:b], sizes[a:b], nodes[a:b], labels[a:b], side[a:b])
+            first = [np.asarray(x.as_py() or (), np.int64) for x in table.column("first")]
+            found = [compare(int(key[a]), regs[a:b], sizes[a:b], nodes[a:b], labels[a:b], side[a:b], first[a:b])
                      for a, b in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])) if b - a > 1]
             a = np.concatenate([x[0] for x in found] or [np.zeros(0, np.int64)])
             b = np.concatenate([x[1] for x in found] or [np.zeros(0, np.int64)])
@@ -351,7 +362,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
                         .dropDuplicates(["node"]))
     sketches = nodes.select("node", "n", "regs")
 
-    exploded = meeting_keys(nodes, percent)
+    first = materialize(first_shingles(nodes, percent))
+    exploded = meeting_keys(nodes, first)
     crowded = exploded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     buckets = materialize(exploded.join(crowded, "key"))
     central = buckets.groupBy("node").agg(F.sum("size").alias("central"))
@@ -375,12 +387,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
              .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
              .select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
                      (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "label")
-             .join(sketches, "node"))
+             .join(sketches, "node").join(first, "node", "left"))
     crossing = (dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "side")
-                .select("key", "left", "right", "side", "node", "label", "n", "regs")
-                .mapInArrow(_crosser(percent), _PAIR)
-                .select(F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b"))
-                .distinct())   # small sets may meet by several shingles
+                .select("key", "left", "right", "side", "node", "label", "n", "regs", "first")
+                .mapInArrow(_crosser(percent), _PAIR))
     more = confirm(materialize(crossing), docs, reps, k, percent)
     final = components(links.union(more))
 

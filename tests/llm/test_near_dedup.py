@@ -103,7 +103,7 @@ def test_blocks_of_large_buckets(spark, make, monkeypatch):
 def crowded(make, docs):
     """Sizes of the buckets of more than one node."""
     nodes = N.signatures(make([(i, t, None, None, None) for i, t in docs.items()])).where("node is not null").dropDuplicates(["node"])
-    return sorted(r["count"] for r in N.meeting_keys(nodes, 80).groupBy("key").count().where("count > 1").collect())
+    return sorted(r["count"] for r in N.meeting_keys(nodes, N.first_shingles(nodes, 80)).groupBy("key").count().where("count > 1").collect())
 
 
 def test_unrelated_texts_do_not_meet_by_chance(make):
@@ -119,6 +119,16 @@ def test_frequent_shingles_come_last(make):
     assert sum(crowded(make, docs)) < 20
 
 
+def test_a_pair_is_told_once(spark, make, monkeypatch):
+    """Near copies that share many buckets and stay apart at first: no pair leaves the second search twice."""
+    seen, write = [], N.materialize
+    monkeypatch.setattr(N, "materialize", lambda df, *a, **k: seen.append(write(df, *a, **k)) or seen[-1])
+    docs = family(12, 2, 60, words=60, changes=(1, 4))
+    N.near_duplicates(make([(i, t, None, None, None) for i, t in docs.items()]))
+    pairs = [sorted(tuple(sorted(r)) for r in df.collect()) for df in seen if df.columns == ["node_a", "node_b"]]
+    assert len(pairs) == 4 and any(pairs) and all(len(set(p)) == len(p) for p in pairs)
+
+
 def test_sizes_about_the_limit_of_small_sets(make):
     """Pairs of which one, both or none are small sets; the families are linked as all pairs say."""
     docs = {}
